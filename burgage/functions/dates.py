@@ -10,28 +10,25 @@ from pyspark.sql import functions as F
 from .text import _column
 
 
+# Month-first dates, and text with neither slash nor dash: a bare number such as 20180105 would
+# otherwise be cast to a far-off year. The groups are empty for the latter, which casts to NULL.
+_NOT_ISO = r"^(?:\s*+(\d{1,2})/(\d{1,2})/(\d{4})(?!\d)|[^-/]*+$)"
+
+
 def parse_timestamp(c: Column | str, formats: Sequence[str] | None = None) -> Column:
     """Text to TIMESTAMP_NTZ, or NULL.
 
     Without `formats` two families are read: ISO (`2018-01-05`, `2018-1-5 10:30:00`,
     `2018-01-05T10:30:00.5`) and month-first (`1/5/2018`, `01/05/2018 10:30:00`). Month-first
     text is turned into ISO and then cast: a cast that fails yields NULL without raising an
-    exception, which a format parser does for every bad row. Plain dates, nearly all of the
-    input, are rearranged without a regular expression.
+    exception, which a format parser does for every bad row. The input occurs only once in the
+    expression, so it is not computed again and again when Spark merges projections.
     """
     c = _column(c)
     if formats is not None:
         tries = [F.try_to_timestamp(c, F.lit(f)) for f in formats]
         return F.coalesce(*tries).cast("timestamp_ntz")
-    month_and_day = F.replace(
-        F.ltrim(F.substr(c, F.lit(1), F.length(c) - 5)), F.lit("/"), F.lit("-"))
-    plain = F.concat(F.substring(c, -4, 4), F.lit("-"), month_and_day)
-    with_time = F.regexp_replace(c, r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})(?!\d)", "$3-$1-$2")
-    # a bare number such as 20180105 would be cast to a far-off year, so ISO text needs a dash
-    iso = (F.when(F.substring(c, -5, 1) == "/", plain)
-           .when(c.contains("/"), with_time)
-           .when(c.contains("-"), c))
-    return iso.try_cast("timestamp_ntz")
+    return F.regexp_replace(c, _NOT_ISO, "$3-$1-$2").try_cast("timestamp_ntz")
 
 
 def parse_date(c: Column | str, formats: Sequence[str] | None = None) -> Column:

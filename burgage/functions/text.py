@@ -11,9 +11,13 @@ from pyspark.sql import functions as F
 # ---- fixed values: characters after which a new word starts, besides the blank ----
 WORD_BREAKS = "!?@\"^#$&~_,.:;+-*%/|\\[](){}<>\t\n\r"
 
-# A Unicode noncharacter, never legal in interchanged text, so it cannot collide with data.
-_MARK = "﷐ "
-_BREAK_PATTERN = "([" + "".join("\\" + ch if ch in "\\^-[]&~" else ch for ch in WORD_BREAKS) + "])"
+# Put after each break so that Spark's blank-based rule sees a new word, then taken out again.
+# The control character counts as a break itself: one that is in the data gets a marker of its
+# own, so taking the markers out restores the text exactly.
+_CONTROL = "\x01"
+_MARK = _CONTROL + " "
+_BREAK_PATTERN = "([" + "".join(
+    "\\" + ch if ch in "\\^-[]&~" else ch for ch in WORD_BREAKS + _CONTROL) + "])"
 
 
 def _column(c: Column | str) -> Column:
@@ -24,9 +28,9 @@ def initcap_words(c: Column | str, mode: str = "punctuation") -> Column:
     """Capitalise each word.
 
     mode="space" is Spark's own rule (words are split at blanks only). mode="punctuation" also
-    starts a word after punctuation: `FOOD/BEVERAGE hndlng` -> `Food/Beverage Hndlng`. A marker
-    holding a blank is put after each break, `initcap` does the work, and the marker goes again,
-    which keeps the whole expression in generated code (no arrays, no lambda).
+    starts a word after punctuation: `FOOD/BEVERAGE hndlng` -> `Food/Beverage Hndlng`. It puts a
+    marker with a blank after each break, uses `initcap`, and removes the markers, which keeps
+    the whole expression in generated code (no arrays, no lambda).
     """
     c = _column(c)
     if mode == "space":

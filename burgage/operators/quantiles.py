@@ -2,9 +2,10 @@
 
 Spark's `percentile` keeps every distinct value of a group in one task. That is fine where the
 values come from a bounded range, such as days between 0 and 1000. For free values this module
-narrows down in three rounds instead: count by leading digits, find the bin in which the wanted
-position falls, count that bin by more digits, and only then look at single values. Every round
-is an ordinary aggregate and no task sees more than the bins of one group.
+looks twice instead: it counts values by their leading digits, finds the bin in which a wanted
+position falls, and then looks at the single values of those bins only. With five digits there
+are 90,000 bins per power of ten, so of 10**12 distinct values between 1 and 10**5 neither step
+shows a task more than a few million rows, whichever group they belong to.
 """
 
 from __future__ import annotations
@@ -16,9 +17,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# significant digits that make up the bins of the first and second round
-_DIGITS = (3, 7)
-_RADIX = 20
+# significant digits that make up a bin
+_DIGITS = 5
+
+# With this many groups at most, the bins of interest (a few per group) go to every task, and the
+# counts stay where they are. With more groups the counts are shuffled to the bins.
+_FEW_GROUPS = 50_000
 
 
 def histogram(df: DataFrame, value: str, keys: Sequence[str] = (), n: str = "n") -> DataFrame:
@@ -29,52 +33,35 @@ def histogram(df: DataFrame, value: str, keys: Sequence[str] = (), n: str = "n")
     return df.filter(present).groupBy(*keys, value).agg(F.count("*").alias(n))
 
 
-def _bin(value: Column, digits: int) -> Column:
+def has_at_most(df: DataFrame, keys: Sequence[str], limit: int = _FEW_GROUPS) -> bool:
+    """Whether the keys take at most `limit` values. Runs a job that reads only the keys."""
+    return not keys or df.select(*keys).distinct().limit(limit + 1).count() <= limit
+
+
+def _bin(value: Column) -> Column:
     """A bigint that never falls as the value rises, and is the same for equal leading digits."""
     size = F.abs(value.cast("double"))
+    scale = 10 ** (_DIGITS - 1)
     # 400 is beyond any double's exponent; it also stands in for the exponent of infinity
     exponent = F.least(F.floor(F.log10(size)), F.lit(400))
-    lead = F.floor(size / F.pow(F.lit(10.0), exponent) * float(10 ** (digits - 1)))
-    code = (exponent + 400) * (_RADIX * 10 ** (digits - 1)) + lead
+    lead = F.floor(size / F.pow(F.lit(10.0), exponent) * float(scale))
+    # a lead may just reach 10 * scale through rounding, so an exponent spans more than that
+    code = (exponent + 400) * (20 * scale) + lead
     return F.when(value == 0, F.lit(0)).when(value < 0, -code).otherwise(code).cast("bigint")
 
 
-def _positions(probs: Sequence[float], total: Column) -> list[tuple[Column, Column, Column]]:
+def _positions(probs: Sequence[float]) -> list[tuple[Column, Column, Column]]:
     """For each probability: the 0-based position below, the one above, and the way between."""
     out = []
     for p in probs:
-        exact = F.lit(float(p)) * (total - 1).cast("double")
+        exact = F.lit(float(p)) * (F.col("_total") - 1).cast("double")
         below = F.floor(exact)
         out.append((below, F.ceil(exact), exact - below))
     return out
 
 
-def _narrow(
-    counts: DataFrame, keys: Sequence[str], at: str, probs: Sequence[float],
-    carried: bool = False,
-) -> DataFrame:
-    """Keep the bins of `counts` that hold a wanted position; add the rows before the bin.
-
-    Unless `carried`, the group total is taken here; later rounds bring total and offset along.
-    """
-    ahead = W.partitionBy(*keys).orderBy(at).rowsBetween(W.unboundedPreceding, -1)
-    running = F.coalesce(F.sum("_n").over(ahead), F.lit(0))
-    if carried:
-        spread = counts.withColumn("_before", F.col("_before") + running)
-    else:
-        whole = W.partitionBy(*keys)
-        spread = counts.withColumn("_before", running).withColumn("_total", F.sum("_n").over(whole))
-    upto = F.col("_before") + F.col("_n")
-    hits = [(F.col("_before") <= x) & (x < upto)
-            for below, above, _ in _positions(probs, F.col("_total")) for x in (below, above)]
-    return spread.filter(reduce(lambda a, b: a | b, hits))
-
-
-def _in_bins(counts: DataFrame, bins: DataFrame, on: Sequence[str]) -> DataFrame:
-    """The counts that lie in one of the bins; NULL keys match each other."""
-    other = bins.select(*[F.col(c).alias("_r" + c) for c in on], "_before", "_total")
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col("_r" + c)) for c in on])
-    return counts.join(other, same).drop(*["_r" + c for c in on])
+def _holds(position: Column) -> Column:
+    return (F.col("_before") <= position) & (position < F.col("_before") + F.col("_n"))
 
 
 def exact_quantiles(
@@ -86,9 +73,11 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles per key group, one double column per probability.
 
-    A group without any value has no row. NULL keys form a group.
+    A group without any value has no row. NULL keys form a group. The keys are counted first,
+    see `has_at_most`.
     """
-    return quantiles_of_counts(histogram(df, value, keys, "_n"), value, "_n", probs, keys, names)
+    return quantiles_of_counts(histogram(df, value, keys, "_n"), value, "_n", probs, keys, names,
+                               few_groups=has_at_most(df, keys))
 
 
 def quantiles_of_counts(
@@ -98,31 +87,39 @@ def quantiles_of_counts(
     probs: Sequence[float],
     keys: Sequence[str] = (),
     names: Sequence[str] | None = None,
+    *,
+    few_groups: bool = False,
 ) -> DataFrame:
     """The same from a table that has each value of a group once, with its number of rows."""
     names = list(names) if names else [f"q{i}" for i in range(len(probs))]
     group = [f"_k{i}" for i in range(len(keys))]
-    counts = (
-        counts.select(*[F.col(k).alias(g) for k, g in zip(keys, group)],
-                      F.col(value).alias("_v"), F.col(n).alias("_n"))
-        .withColumn("_b1", _bin(F.col("_v"), _DIGITS[0]))
-        .withColumn("_b2", _bin(F.col("_v"), _DIGITS[1]))
+    binned = [*group, "_bin"]
+    spots = _positions(probs)
+    counts = counts.select(
+        *[F.col(k).alias(g) for k, g in zip(keys, group)], F.col(value).alias("_v"),
+        F.col(n).alias("_n"), _bin(F.col(value)).alias("_bin"))
+
+    # the bins that hold a wanted position, with the rows before them
+    earlier = W.partitionBy(*group).orderBy("_bin").rowsBetween(W.unboundedPreceding, -1)
+    bins = (
+        counts.groupBy(*binned).agg(F.sum("_n").alias("_n"))
+        .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        .withColumn("_total", F.sum("_n").over(W.partitionBy(*group)))
+        .filter(reduce(lambda a, b: a | b, [_holds(x) for s in spots for x in s[:2]]))
+        .select(*[F.col(c).alias("_r" + c) for c in binned], "_before", "_total")
     )
-    coarse, fine = [*group, "_b1"], [*group, "_b1", "_b2"]
-    first = _narrow(counts.groupBy(*coarse).agg(F.sum("_n").alias("_n")), group, "_b1", probs)
-    near = _in_bins(counts, first, coarse)
-    second = _narrow(near.groupBy(*fine, "_before", "_total").agg(F.sum("_n").alias("_n")),
-                     coarse, "_b2", probs, carried=True)
-    last = _narrow(_in_bins(counts, second, fine), fine, "_v", probs, carried=True)
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col("_r" + c)) for c in binned])
+    near = counts.join(F.broadcast(bins) if few_groups else bins, same)
 
-    upto = F.col("_before") + F.col("_n")
+    # the same again, value by value within those bins
+    smaller = W.partitionBy(*binned).orderBy("_v").rowsBetween(W.unboundedPreceding, -1)
+    placed = near.withColumn(
+        "_before", F.col("_before") + F.coalesce(F.sum("_n").over(smaller), F.lit(0)))
 
     def at(position: Column) -> Column:
-        here = (F.col("_before") <= position) & (position < upto)
-        return F.max(F.when(here, F.col("_v").cast("double")))
+        return F.max(F.when(_holds(position), F.col("_v").cast("double")))
 
-    spots = _positions(probs, F.col("_total"))
-    found = last.groupBy(*group).agg(
+    found = placed.groupBy(*group).agg(
         *[at(below).alias(f"_lo{i}") for i, (below, _, _) in enumerate(spots)],
         *[at(above).alias(f"_hi{i}") for i, (_, above, _) in enumerate(spots)],
         *[F.max(way).alias(f"_way{i}") for i, (_, _, way) in enumerate(spots)])
@@ -134,7 +131,7 @@ def quantiles_of_counts(
 
 
 def medians(df: DataFrame, values: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """Exact medians of several columns per key group, found in one set of rounds.
+    """Exact medians of several columns per key group, found together.
 
     The columns are laid below each other with their name as a further key, and the medians are
     put side by side again. A column without any value in a group is NULL there; a group without
@@ -143,6 +140,8 @@ def medians(df: DataFrame, values: Sequence[str], keys: Sequence[str] = ()) -> D
     long = df.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(v).alias("_column"), F.col(v).cast("double").alias("_value"))
         for v in values])).alias("_pair")).select(*keys, "_pair.*")
-    found = exact_quantiles(long, "_value", [0.5], [*keys, "_column"], ["_median"])
+    by = [*keys, "_column"]
+    found = quantiles_of_counts(histogram(long, "_value", by, "_n"), "_value", "_n", [0.5], by,
+                                ["_median"], few_groups=has_at_most(df, keys))
     return found.groupBy(*keys).agg(*[
         F.max(F.when(F.col("_column") == v, F.col("_median"))).alias(v) for v in values])

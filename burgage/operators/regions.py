@@ -77,8 +77,8 @@ def county_markers(
     if bounds is None:
         low, high = map(F.lit, RENT_COLOUR_BOUNDS)
     else:
-        low = bounds.select(F.max("vmin")).scalar()
-        high = bounds.select(F.max("vmax")).scalar()
+        span = bounds.agg(F.max(F.struct("vmin", "vmax"))).scalar()
+        low, high = span.getField("vmin"), span.getField("vmax")
     return placed.select(
         "county", label_for("county", names).alias("name"), "lat", "lon",
         F.greatest(F.lit(MIN_RADIUS), F.col("population").cast("double") / PEOPLE_PER_RADIUS_UNIT)

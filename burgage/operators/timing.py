@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import DAYS_RANGE, TOP_TIMING_TYPES
-from .quantiles import histogram, quantiles_of_counts
+from .quantiles import has_at_most, histogram, quantiles_of_counts
 from .ranking import keep_top_categories, top_categories
 
 
@@ -77,7 +77,8 @@ def box_summary(
                                  F.col("_n")).alias("_q"))
                .select(category, *[F.col("_q")[i].alias(q) for i, q in enumerate(names)]))
     else:
-        box = quantiles_of_counts(counts, value, "_n", (0.25, 0.5, 0.75), [category], names)
+        box = quantiles_of_counts(counts, value, "_n", (0.25, 0.5, 0.75), [category], names,
+                                  few_groups=k is not None or has_at_most(df, [category]))
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = F.col(value).between(F.col("q1") - reach, F.col("q3") + reach)
     return counts.join(box, category).groupBy(category, *names).agg(

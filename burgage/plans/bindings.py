@@ -78,10 +78,10 @@ def permits_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("permit_number"),
         F.col("o_orderpriority").alias("permit_type_definition"),
         F.when(F.col("l_orderkey") % 11 == 0, F.lit("unknown"))
-        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("filed_date"),
+        .otherwise(F.to_date("o_orderdate").cast("string")).alias("filed_date"),
         F.when(F.col("l_partkey") % 13 == 0, F.lit("13/45/2001"))
         .when(F.col("l_partkey") % 17 != 0, month_first).alias("issued_date"),
-        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("completed_date"),
+        F.col("l_shipdate").cast("string").alias("completed_date"),
         F.col("l_linestatus").alias("existing_use"), F.col("l_returnflag").alias("proposed_use"),
         F.col("l_extendedprice").alias("estimated_cost"),
         F.col("l_linenumber").cast("bigint").alias("existing_units"),
@@ -131,7 +131,7 @@ def price_index_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as raw index readings."""
     return table(spark, sf_dir, "orders").select(
         F.when(F.col("o_orderkey") % 9 == 0, F.lit("."))
-        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("observation_date"),
+        .otherwise(F.to_date("o_orderdate").cast("string")).alias("observation_date"),
         F.col("o_totalprice").alias("value"))
 
 
