@@ -73,8 +73,8 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles per key group, one double column per probability.
 
-    A group without any value has no row. NULL keys form a group. The keys are counted first,
-    see `has_at_most`.
+    A group without any value has no row, but without keys there always is one. NULL keys form
+    a group. The keys are counted first, see `has_at_most`.
     """
     return quantiles_of_counts(histogram(df, value, keys, "_n"), value, "_n", probs, keys, names,
                                few_groups=has_at_most(df, keys))

@@ -1,0 +1,9 @@
+"""Permit cleaning on a stream of landed files.
+
+Cleaning needs no state: every row stands alone, so the batch function applies unchanged and no
+watermark is involved. Reports are then run on the stored, growing table.
+"""
+
+from .landing import clean_permits_stream, permits_stream, store_stream
+
+__all__ = ["clean_permits_stream", "permits_stream", "store_stream"]
