@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -41,6 +42,17 @@ def days_between(start: Column | str, end: Column | str) -> Column:
     return F.datediff(_column(end), _column(start)).cast("bigint")
 
 
+def within_years(c: Column | str, years: tuple[int, int]) -> Column:
+    """Whether a date lies in the years, both included.
+
+    Unlike a condition on `year(c)`, this compares the column itself, so a parquet scan can skip
+    what lies outside.
+    """
+    c = _column(c)
+    first, last = years
+    return (c >= F.lit(datetime.date(first, 1, 1))) & (c < F.lit(datetime.date(last + 1, 1, 1)))
+
+
 def quarter_label(c: Column | str) -> Column:
     """`2018 Q3`."""
     c = _column(c)

@@ -7,10 +7,10 @@ the cleaning steps need something to clean. Joins are limited to the tables a re
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import days_between
+from ..functions import days_between, within_years
 from ..schemas import MISSING_SENTINEL
 
 TABLES = (
@@ -27,54 +27,72 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: table(spark, sf_dir, name) for name in TABLES}
 
 
-def issued(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lines(spark: SparkSession, sf_dir: str, years: tuple[int, int] | None = None) -> DataFrame:
+    """Line items, optionally only those shipped in the years that a report is about."""
+    df = table(spark, sf_dir, "lineitem")
+    return df if years is None else df.filter(within_years("l_shipdate", years))
+
+
+def issued(
+    spark: SparkSession, sf_dir: str, years: tuple[int, int] | None = None
+) -> DataFrame:
     """Permits with issue year and type only: one table, no join."""
-    return table(spark, sf_dir, "lineitem").select(
+    return lines(spark, sf_dir, years).select(
         F.col("l_returnflag").alias("permit_type"),
         F.year("l_shipdate").cast("bigint").alias("issued_year"))
 
 
-def issued_by_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
+def issued_by_brand(
+    spark: SparkSession, sf_dir: str, years: tuple[int, int] | None = None
+) -> DataFrame:
     """Permits whose type and use come from the part."""
-    lines = table(spark, sf_dir, "lineitem")
     parts = table(spark, sf_dir, "part")
-    return lines.join(parts, lines.l_partkey == parts.p_partkey).select(
+    return lines(spark, sf_dir, years).join(parts, F.col("l_partkey") == parts.p_partkey).select(
         F.col("p_brand").alias("permit_type"), F.col("p_brand").alias("existing_use"),
         F.year("l_shipdate").cast("bigint").alias("issued_year"))
 
 
-def timed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Permits with filing and issue date."""
-    lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders")
-    return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "o_custkey",
+def _timed(df: DataFrame, *more: Column) -> DataFrame:
+    return df.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         F.col("o_orderpriority").alias("permit_type"),
         F.year("l_shipdate").cast("bigint").alias("issued_year"),
         days_between("o_orderdate", "l_shipdate").alias("processing_days"),
-        F.col("l_extendedprice").cast("decimal(18,2)").alias("estimated_cost"))
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("estimated_cost"), *more)
 
 
-def placed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Timed permits with a place (the customer's nation) and an area code to match tracts by."""
-    permits = timed(spark, sf_dir)
+def timed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Permits with filing and issue date."""
+    orders = table(spark, sf_dir, "orders")
+    return _timed(lines(spark, sf_dir).join(orders, F.col("l_orderkey") == orders.o_orderkey))
+
+
+def _orders_of(spark: SparkSession, sf_dir: str, nations: DataFrame) -> DataFrame:
+    """Orders with customer and nation. Joined before the lines, of which an order has several,
+    so that the lines are shuffled once, by order, and not again by customer."""
+    orders = table(spark, sf_dir, "orders")
     customers = table(spark, sf_dir, "customer")
-    nations = table(spark, sf_dir, "nation")
-    return (
-        permits.join(customers, permits.o_custkey == customers.c_custkey)
-        .join(nations, F.col("c_nationkey") == nations.n_nationkey)
-        .select(*[c for c in permits.columns if c != "o_custkey"],
-                F.col("n_name").alias("neighborhood"), F.col("c_mktsegment").alias("segment"),
-                F.col("c_nationkey").alias("zipcode"))
-    )
+    return orders.join(
+        customers.join(nations, customers.c_nationkey == nations.n_nationkey),
+        orders.o_custkey == customers.c_custkey)
+
+
+def placed(
+    spark: SparkSession, sf_dir: str, years: tuple[int, int] | None = None
+) -> DataFrame:
+    """Timed permits with a place (the customer's nation) and an area code to match tracts by."""
+    orders = _orders_of(spark, sf_dir, table(spark, sf_dir, "nation"))
+    return _timed(
+        lines(spark, sf_dir, years).join(orders, F.col("l_orderkey") == orders.o_orderkey),
+        F.col("n_name").alias("neighborhood"), F.col("c_mktsegment").alias("segment"),
+        F.col("c_nationkey").alias("zipcode"))
 
 
 def permits_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw permits: dates as text in two notations, some missing and some no dates at all."""
-    lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
     month_first = F.date_format("l_shipdate", "MM/dd/yyyy")
-    return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
+    return lines(spark, sf_dir).join(orders, F.col("l_orderkey") == orders.o_orderkey).select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("permit_number"),
         F.col("o_orderpriority").alias("permit_type_definition"),
         F.when(F.col("l_orderkey") % 11 == 0, F.lit("unknown"))
@@ -94,23 +112,20 @@ def permits_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def use_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines as flows from the customer's to the supplier's nation, both labelled
     `REGION/NATION`. Some sources are written in lower case, so spellings differ."""
-    lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders")
-    customers = table(spark, sf_dir, "customer")
-    suppliers = table(spark, sf_dir, "supplier")
     nations = table(spark, sf_dir, "nation")
     regions = table(spark, sf_dir, "region")
     labels = nations.join(regions, nations.n_regionkey == regions.r_regionkey) \
-        .select("n_nationkey", F.concat_ws("/", "r_name", "n_name").alias("label"))
-    source = labels.select(F.col("n_nationkey").alias("_from"), F.col("label").alias("_source"))
-    target = labels.select(F.col("n_nationkey").alias("_to"), F.col("label").alias("_target"))
+        .select("n_nationkey", F.concat_ws("/", "r_name", "n_name").alias("_source"))
+    orders = _orders_of(spark, sf_dir, labels).select("o_orderkey", "_source")
+    targets = labels.select(F.col("n_nationkey").alias("_to"), F.col("_source").alias("_target"))
+    suppliers = table(spark, sf_dir, "supplier")
+    suppliers = suppliers.join(targets, suppliers.s_nationkey == targets._to) \
+        .select("s_suppkey", "_target")
     spelled = F.when(F.col("l_orderkey") % 3 == 0, F.lower("_source")).otherwise(F.col("_source"))
     return (
-        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-        .join(customers, orders.o_custkey == customers.c_custkey)
-        .join(suppliers, lines.l_suppkey == suppliers.s_suppkey)
-        .join(source, F.col("c_nationkey") == F.col("_from"))
-        .join(target, F.col("s_nationkey") == F.col("_to"))
+        lines(spark, sf_dir)
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
         .select(spelled.alias("existing_use"), F.col("_target").alias("proposed_use"))
     )
 

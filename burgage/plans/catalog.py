@@ -70,11 +70,11 @@ def quality_summary(spark, sf):
 
 
 def permits_trend(spark, sf):
-    return activity.trend(b.issued(spark, sf), years=YEARS)
+    return activity.trend(b.issued(spark, sf, YEARS), years=YEARS)
 
 
 def trend_top_types(spark, sf):
-    counts = activity.trend(b.issued_by_brand(spark, sf), years=YEARS)
+    counts = activity.trend(b.issued_by_brand(spark, sf, YEARS), years=YEARS)
     return activity.trend_top_types(counts, 5)
 
 
@@ -87,7 +87,7 @@ def neighborhood_activity_all(spark, sf):
 
 
 def neighborhood_ranked(spark, sf):
-    timely = b.placed(spark, sf).filter(F.col("processing_days").between(0, 1000))
+    timely = b.placed(spark, sf, YEARS).filter(F.col("processing_days").between(0, 1000))
     return rounded(activity.places_ranked(timely, years=YEARS))
 
 
@@ -109,7 +109,7 @@ def top_share(spark, sf):
 
 
 def peak_years(spark, sf):
-    counts = activity.trend(b.issued_by_brand(spark, sf), years=YEARS)
+    counts = activity.trend(b.issued_by_brand(spark, sf, YEARS), years=YEARS)
     return activity.peak_years(counts)
 
 
@@ -192,7 +192,7 @@ def income_wait_scatter(spark, sf):
 
 
 def permits_vs_hpi(spark, sf):
-    counts = activity.trend(b.issued(spark, sf), years=YEARS)
+    counts = activity.trend(b.issued(spark, sf, YEARS), years=YEARS)
     return rounded(combined.permits_vs_index(counts, b.price_index(spark, sf), years=YEARS))
 
 
