@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..schemas import RANKING_YEARS, TOP_PLACES, TOP_TREND_TYPES, TREND_YEARS
-from .ranking import keep_top_categories, rank_within, value_counts, with_share
+from .ranking import rank_within, value_counts, with_share
 
 
 def quality_summary(
@@ -39,8 +39,20 @@ def trend_top_types(
     counts: DataFrame, k: int = TOP_TREND_TYPES, *, year: str = "issued_year",
     category: str = "permit_type", amount: str = "permit_count",
 ) -> DataFrame:
-    """The trend lines of the k categories with the largest totals."""
-    return keep_top_categories(counts.filter(F.col(year).isNotNull()), category, k, amount)
+    """The trend lines of the k categories with the largest totals.
+
+    `counts` has one row per category and year, so a category's line is as short as the range of
+    years and can travel with its total: no second look at the data is needed.
+    """
+    line = F.collect_list(F.struct(year, amount))
+    return (
+        counts.filter(F.col(year).isNotNull() & F.col(category).isNotNull())
+        .groupBy(category)
+        .agg(F.coalesce(F.sum(amount), F.lit(0)).alias("_total"), line.alias("_line"))
+        .orderBy(F.desc("_total"), F.asc(category)).limit(k)
+        .select(category, F.inline("_line"))
+        .select(year, category, amount)
+    )
 
 
 def place_activity(

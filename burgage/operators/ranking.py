@@ -28,9 +28,14 @@ def top_categories(df: DataFrame, category: str, k: int, weight: str | None = No
 def keep_top_categories(
     df: DataFrame, category: str, k: int, weight: str | None = None
 ) -> DataFrame:
-    """Rows of the k top categories. The set has at most k rows, hence the broadcast."""
-    top = top_categories(df, category, k, weight).select(category)
-    return df.join(F.broadcast(top), category, "left_semi")
+    """Rows of the k top categories. The list of them has at most k rows, hence the broadcast.
+
+    Both sides start from the same filtered rows, and the list is joined instead of
+    semi-joined, so that Spark can compute what `df` stands for once and use it twice.
+    """
+    known = df.filter(F.col(category).isNotNull())
+    top = top_categories(known, category, k, weight).select(category)
+    return known.join(F.broadcast(top), category).select(*df.columns)
 
 
 def value_counts(df: DataFrame, column: str, name: str = "row_count") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import DAYS_RANGE, TOP_TIMING_TYPES
 from .quantiles import has_at_most, histogram, quantiles_of_counts
-from .ranking import keep_top_categories, top_categories
+from .ranking import keep_top_categories
 
 
 def processing_time(
@@ -64,12 +64,10 @@ def box_summary(
     from a small fixed range, so that a category's distinct values fit in one task; otherwise
     the quartiles are found in rounds.
     """
-    counts = histogram(df, value, [category], "_n")
+    counts = histogram(df.filter(F.col(category).isNotNull()), value, [category], "_n")
     if k is not None:
-        top = top_categories(counts, category, k, "_n").select(category)
-        counts = counts.join(F.broadcast(top), category, "left_semi")
-    else:
-        counts = counts.filter(F.col(category).isNotNull())
+        counts = keep_top_categories(counts, category, k, "_n")
+    few = k is not None or has_at_most(df, [category])
     names = ["q1", "median", "q3"]
     if bounded_values:
         box = (counts.groupBy(category)
@@ -78,10 +76,11 @@ def box_summary(
                .select(category, *[F.col("_q")[i].alias(q) for i, q in enumerate(names)]))
     else:
         box = quantiles_of_counts(counts, value, "_n", (0.25, 0.5, 0.75), [category], names,
-                                  few_groups=k is not None or has_at_most(df, [category]))
+                                  few_groups=few)
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = F.col(value).between(F.col("q1") - reach, F.col("q3") + reach)
-    return counts.join(box, category).groupBy(category, *names).agg(
+    # one row per category, so with few of them the counts need not move
+    return counts.join(F.broadcast(box) if few else box, category).groupBy(category, *names).agg(
         F.sum("_n").alias("row_count"),
         F.min(F.when(inside, F.col(value))).alias("whisker_low"),
         F.max(F.when(inside, F.col(value))).alias("whisker_high"),
