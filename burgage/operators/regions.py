@@ -59,8 +59,8 @@ def county_table(spark: SparkSession, digits: int | None = None) -> DataFrame:
     def shown(x: float) -> float:
         return x if digits is None else round(x, digits)
 
-    rows = [(code, shown(lat), shown(lon)) for code, _, lat, lon in COUNTIES]
-    return spark.createDataFrame(rows, "county string, lat double, lon double")
+    rows = ", ".join(f"('{code}', {shown(lat)}D, {shown(lon)}D)" for code, _, lat, lon in COUNTIES)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(county, lat, lon)")
 
 
 def county_markers(

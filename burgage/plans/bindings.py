@@ -193,21 +193,32 @@ def tracts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("s_suppkey") % 6 != 0, F.col("s_acctbal") / 4).alias("median_rent"))
 
 
-def census_responses(spark: SparkSession, sf_dir: str, rows: int = 400) -> DataFrame:
-    """Customers packed into JSON responses as a web service would send them: a header row and
-    at most `rows` tracts each."""
-    cells = F.array(
-        "c_name", F.col("c_acctbal").cast("string"), F.col("c_custkey").cast("string"),
-        F.lpad(F.col("c_nationkey").cast("string"), 3, "0"))
-    header = F.array(*map(F.lit, ("NAME", "B25064_001E", "tract", "county")))
+def _responses(df: DataFrame, key: str, fields: dict[str, Column], rows: int) -> DataFrame:
+    """Rows packed into JSON responses as a web service would send them: a header row and at
+    most `rows` rows each."""
+    header = F.array(*map(F.lit, fields))
     return (
-        table(spark, sf_dir, "customer")
-        .groupBy(F.floor(F.col("c_custkey") / rows).alias("page"))
-        .agg(F.collect_list(cells).alias("cells"))
+        df.groupBy(F.floor(F.col(key) / rows).alias("page"))
+        .agg(F.collect_list(F.array(*fields.values())).alias("cells"))
         .select(F.to_json(F.concat(F.array(header), "cells")).alias("value"))
     )
 
 
+def census_responses(spark: SparkSession, sf_dir: str, rows: int = 400) -> DataFrame:
+    """Customers as JSON responses of the census service."""
+    return _responses(table(spark, sf_dir, "customer"), "c_custkey", {
+        "NAME": F.col("c_name"), "B25064_001E": F.col("c_acctbal").cast("string"),
+        "tract": F.col("c_custkey").cast("string"),
+        "county": F.lpad(F.col("c_nationkey").cast("string"), 3, "0")}, rows)
+
+
+def supplier_responses(spark: SparkSession, sf_dir: str, rows: int = 400) -> DataFrame:
+    """Suppliers as further responses, without a tract and with the fields in another order."""
+    return _responses(table(spark, sf_dir, "supplier"), "s_suppkey", {
+        "county": F.lpad(F.col("s_nationkey").cast("string"), 3, "0"), "NAME": F.col("s_name"),
+        "B25064_001E": F.col("s_acctbal").cast("string")}, rows)
+
+
 def customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as raw CSV lines: quoted commas, null tokens, short and long rows, bad numbers."""
     key = F.col("c_custkey")

@@ -14,8 +14,8 @@ from ..operators import profile as profiles
 from ..operators import series, timing
 from ..schemas import CENSUS_VARIABLES, COUNTIES, SAMPLE_ROWS, layout
 from ..session import scratch_path
-from ..sources import (Typed, decode_json_table, export_csv, list_landed, read_csv, type_columns,
-                       write_table)
+from ..sources import (Typed, append_all, decode_json_table, export_csv, list_landed, read_csv,
+                       read_csv_inferred, type_columns, write_table)
 from . import bindings as b
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -256,6 +256,14 @@ def census_landing(spark, sf):
     return cleaning.with_geoid(rows.withColumn("state", F.lit("06")))
 
 
+def appended_responses(spark, sf):
+    """Customers and suppliers, from responses of their own that order their fields differently."""
+    fields = {"NAME": "name", "B25064_001E": "median_rent", "county": "county"}
+    return append_all([
+        decode_json_table(b.census_responses(spark, sf), {**fields, "tract": "tract"}),
+        decode_json_table(b.supplier_responses(spark, sf), fields)])
+
+
 def _loaded_customers(spark: SparkSession, sf: str) -> Typed:
     path = scratch_path(spark, "customer-lines")
     b.customer_lines(spark, sf).write.text(path)
@@ -281,6 +289,15 @@ def csv_export_multiline(spark, sf):
                        F.md5("text").alias("text_md5"))
 
 
+def csv_inferred(spark, sf):
+    """Orders out to CSV and back by header, with inferred types."""
+    path = scratch_path(spark, "orders-csv")
+    export_csv(b.table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("Order Key"), F.col("o_totalprice").alias("Total - Price"),
+        F.to_date("o_orderdate").alias("Order Date"), F.col("o_orderstatus").alias("status")), path)
+    return rounded(read_csv_inferred(spark, path, clean_names=True))
+
+
 def stored_trend(spark, sf):
     """The cleaned table, stored by issue year; the trend reads only the years it needs."""
     path = scratch_path(spark, "permits-clean")
@@ -331,6 +348,6 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     income_vs_wait, income_vs_wait_keep_unmatched, income_wait_scatter, permits_vs_hpi,
     hpi_series, county_stats, county_stats_from_text, colour_bounds, county_markers,
     county_markers_fixed_range, order_price_quantiles, attached_areas,
-    census_landing, csv_load, csv_rejects, csv_export_multiline, stored_trend, landed_bytes,
-    table_profile, label_texts,
+    census_landing, appended_responses, csv_load, csv_rejects, csv_export_multiline,
+    csv_inferred, stored_trend, landed_bytes, table_profile, label_texts,
 )}

@@ -400,6 +400,15 @@ FROM orders LEFT JOIN census ON census.geoid = '06' || o_custkey""",
        '06' AS state,
        '06' || lpad(CAST(c_nationkey AS VARCHAR), 3, '0') || c_custkey AS geoid FROM customer""",
 
+    "appended_responses": """SELECT c_name AS name, CAST(c_acctbal AS VARCHAR) AS median_rent,
+       lpad(CAST(c_nationkey AS VARCHAR), 3, '0') AS county, CAST(c_custkey AS VARCHAR) AS tract
+FROM customer UNION ALL
+SELECT s_name, CAST(s_acctbal AS VARCHAR), lpad(CAST(s_nationkey AS VARCHAR), 3, '0'), NULL
+FROM supplier""",
+
+    "csv_inferred": """SELECT o_orderkey AS order_key, round(o_totalprice, 4) AS total_price,
+       CAST(o_orderdate AS DATE) AS order_date, o_orderstatus AS status FROM orders""",
+
     "csv_load": f"""WITH {_CSV}
 SELECT custkey, name, segment, CAST(balance AS DOUBLE) AS balance, CAST(nationkey AS BIGINT)
        AS nationkey FROM fields WHERE balance IS NULL OR balance <> 'n.a.'""",

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 # Only settings that hold at any size. The number of shuffle partitions is left to the cluster:
 # adaptive execution merges small partitions, so a generous cluster value costs little.
@@ -48,3 +51,17 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """Keep a cleaned table in memory, or on disk where it does not fit, for several reports.
+
+    Blocks of a lost executor are computed again. For tables that outlive the job, or that are
+    larger than the cluster's memory, store them with `write_table` instead.
+    """
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,3 +45,8 @@ def decode_json_table(
         return F.try_element_at("row", place)
 
     return rows.select([field(name).alias(alias) for name, alias in wanted.items()])
+
+
+def append_all(parts: Sequence[DataFrame]) -> DataFrame:
+    """All rows of all parts, columns matched by name; a column that a part lacks is NULL."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

@@ -50,14 +50,15 @@ def export_csv(
 ) -> None:
     """Write CSV with a header, by default in as many files as there are tasks.
 
-    `single_file` sends everything through one task, so rows are counted first and more than
-    `max_single_rows` are refused.
+    `single_file` sends the result through one task, so rows are counted first and more than
+    `max_single_rows` are refused. After that a limit cuts nothing, but it gathers the rows in
+    their order, while all earlier work stays spread out (which `coalesce(1)` would not do).
     """
     if single_file:
         rows = df.count()
         if rows > max_single_rows:
             raise ValueError(f"{rows} rows are too many for one file; export without single_file")
-        df = df.coalesce(1)
+        df = df.limit(max_single_rows)
     (df.write.mode(mode).option("header", True).option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(path))

@@ -5,7 +5,7 @@ import pytest
 from burgage.operators import cleaning
 from burgage.plans import housing
 from burgage.schemas import BUILDING_PERMITS, CENSUS_ACS, HOUSE_PRICE_INDEX, LAND_USE
-from burgage.session import scratch_path, shared_folder
+from burgage.session import kept, scratch_path, shared_folder
 from burgage.sources import export_all
 from burgage.streaming import clean_permits_stream, store_stream
 
@@ -103,6 +103,13 @@ def test_stream_equals_batch(spark, landed, tmp_path):
     assert stored.count() == 61 and stored.exceptAll(batch.select(stored.columns)).count() == 0
 
 
+def test_kept_while_in_use(spark):
+    df = spark.range(100)
+    with kept(df) as same:
+        assert same.storageLevel.useMemory and same.count() == 100
+    assert not df.storageLevel.useMemory
+
+
 class UnsetSession:
     """Stands for a session without spark.checkpoint.dir."""
 
