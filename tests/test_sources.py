@@ -107,6 +107,15 @@ def test_exports_round_trip(spark, tmp_path):
         export_csv(spark.range(11), str(tmp_path / "big"), single_file=True, max_single_rows=10)
 
 
+def test_single_file_keeps_order(spark, tmp_path):
+    df = spark.range(0, 5000, numPartitions=7).orderBy(F.desc("id")).select("id", F.lit("x").alias("x"))
+    export_csv(df, str(tmp_path / "o"), single_file=True)
+    (file,) = (tmp_path / "o").glob("*.csv")
+    lines = file.read_text().splitlines()
+    assert lines[0] == "id,x" and lines[1:] == [f"{i},x" for i in range(4999, -1, -1)]
+    export_csv(df.filter("id < 0"), str(tmp_path / "none"), single_file=True)
+
+
 def test_view(spark):
     register_view(spark.range(4), "four")
     assert spark.sql("SELECT count(*) AS n FROM four").collect()[0].n == 4
