@@ -74,14 +74,17 @@ def test_top_k_is_no_full_sort(plans, name):
     assert "TakeOrderedAndProject" in plans(name)
 
 
-def test_windows_and_percentiles_follow_an_aggregate(plans):
-    for name in QUERIES:
-        text = plans(name)
-        for word in ("Window [", "ObjectHashAggregate"):
-            for match in re.finditer(re.escape(word), text):
-                below = text[match.end():]
-                assert "HashAggregate" in below.replace("ObjectHashAggregate", "") \
-                    or "TakeOrdered" in below or name == "census_landing", (name, word)
+# the bindings of these pack raw rows, at most 400 at a time, into responses
+PACKED = {"census_landing", "appended_responses"}
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - PACKED))
+def test_windows_and_percentiles_follow_an_aggregate(plans, name):
+    text = plans(name)
+    for word in ("Window [", "ObjectHashAggregate"):
+        for match in re.finditer(re.escape(word), text):
+            below = text[match.end():].replace("ObjectHashAggregate", "")
+            assert "HashAggregate" in below or "TakeOrdered" in below
 
 
 def test_lines_are_shuffled_once_for_places(plans):
