@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -20,6 +19,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+_scratch: dict[str, str] = {}
+
 
 def get_session(app: str = "burgage", master: str | None = None, **extra: str) -> SparkSession:
     """Build or reuse a session. `extra` keys use `__` for dots: spark__driver__memory="8g"."""
@@ -36,21 +37,34 @@ def get_session(app: str = "burgage", master: str | None = None, **extra: str) -
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in spark.checkpoint.dir.
 
-    Where nothing is set, as in local tests, the context is given a temporary folder.
+    Where that is unset, a folder below the session's warehouse, which is shared as well.
     """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder:
-        return folder
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="burgage-"))
-    return context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new, unused path in the shared folder, removed when the application ends.
+
+    All paths of an application lie in one folder, which Hadoop deletes as its JVM exits.
+    """
+    app = spark.sparkContext.applicationId
+    if app not in _scratch:
+        jvm = spark.sparkContext._jvm
+        folder = f"{shared_folder(spark).rstrip('/')}/{app}-{uuid.uuid4().hex[:8]}"
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _scratch[app] = folder
+    return f"{_scratch[app]}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """`df` as a table in the shared folder, read again: cuts the lineage and outlives executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager

@@ -5,9 +5,8 @@ from oracle import TESTDATA, compare, connect
 
 import __spark_entry__ as entry
 from burgage.plans.bindings import TABLES
-
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+from burgage.plans.catalog import QUERIES
+from burgage.plans.oracle import ORACLE_SQL as SQL
 
 
 @pytest.fixture(scope="module", params=["sf0.001", "sf0.01"])
