@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import simhash
+from . import langid, secret_scan, simhash, urls, warc
+from .runs import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -21,6 +23,125 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_warc(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+# Five hex digits of a SHA-1 are four base32 letters.
+ORACLE_SQL["op2_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS h,
+             min(page_id) OVER (PARTITION BY html) AS low FROM p)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr(
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((CAST('0x' || substr(h, CAST(5 * (i // 4) + 1
+           AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31 AS BIGINT), 1)), '')
+           AS payload_digest,
+       CASE WHEN page_id <> low THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> low THEN low END AS refers_to
+FROM d
+"""
+
+
 @query
 def op3_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_secret_scan(spark, sf_dir):
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _matches_sql(number: int, kind: str, pattern: str, group: int, least: int) -> str:
+    p = _quoted(pattern)
+    mixed = " AND ".join(f"regexp_matches(m.part, '[{c}]')" for c in ("A-Z", "a-z", "0-9"))
+    good = f"length(m.part) >= {least}" + (f" AND {mixed}" if kind == "mixed" else "")
+    return f"""
+SELECT row, kind, stop - m.size AS start, stop FROM (
+    SELECT row, {number} AS kind, m, {good} AS good,
+           sum(m.gap + m.size) OVER (PARTITION BY row ORDER BY m.at)::BIGINT AS stop
+    FROM (SELECT row, unnest(list_transform(range(1, len(f) + 1), lambda i: {{
+              'at': i, 'gap': length(s[i]), 'size': length(f[i]), 'part': g[i]}})) AS m
+          FROM (SELECT row, regexp_split_to_array(text, {p}) AS s, regexp_extract_all(text, {p}) AS f,
+                       regexp_extract_all(text, {p}, {group}) AS g FROM t)))
+WHERE good"""
+
+
+_REACH, _BASE = secret_scan.REACH, len(secret_scan.BASE)
+_ROLE = "CASE kind " + " ".join(
+    f"WHEN {i} THEN '{secret_scan.ROLES[k]}'" for i, k in enumerate(secret_scan.KINDS)) + " END"
+_NAME = "CASE kind " + " ".join(f"WHEN {i} THEN '{k}'" for i, k in enumerate(secret_scan.KINDS)) + " END"
+_SPAN = f"{_NAME} || ':' || start || ':' || stop"
+
+ORACLE_SQL["op4_secret_scan"] = f"""
+WITH t AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+p AS (SELECT *, {_ROLE} AS role FROM ({' UNION ALL '.join(
+    _matches_sql(i, *k) for i, k in enumerate(secret_scan.BASE + secret_scan.WEAK))})),
+found AS (
+    SELECT * FROM p WHERE kind < {_BASE} OR EXISTS (
+        SELECT 1 FROM p o WHERE o.row = p.row AND o.role <> p.role
+        AND (o.role = 'secret' OR p.role = 'secret')
+        AND o.start <= p.stop + {_REACH} AND p.start <= o.stop + {_REACH})),
+g AS (
+    SELECT row, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+           count(*) FILTER (kind = 2) AS n_hex,
+           string_agg({_SPAN}, ',' ORDER BY start, kind) FILTER (kind < {_BASE}) AS base,
+           string_agg({_SPAN}, ',' ORDER BY start, kind) AS spans
+    FROM found GROUP BY row)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+       coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans
+FROM t LEFT JOIN g USING (row)
+"""
+
+
+@query
+def op6_url_filter(spark, sf_dir):
+    return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), "url").drop("url")
+
+
+_ABC = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+def _rule_sql(text: str) -> str:
+    host, slash, path = text.partition("/")
+    return (f"(host = '{host}' OR suffix(host, '.{host}')) AND starts_with(path, '{slash}{path}')")
+
+
+def _patterns_sql(verdict: str) -> str:
+    return " OR ".join(f"regexp_matches(low, {_quoted(urls.pattern_rule(*p).regex)})"
+                       for p in urls.PATTERNS if p[0] == verdict)
+
+
+_LONGEST = sorted(urls.HOST_RULES, key=lambda r: (-len(r[1]), r[1]))
+ORACLE_SQL["op6_url_filter"] = f"""
+WITH r AS (
+    SELECT page_id, translate(coalesce(url, ''), {_ABC}) AS low,
+           CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+    FROM pages),
+s AS (
+    SELECT page_id, low, translate(regexp_extract(rest, '^([^/?#]*)', 1), {_ABC}) AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
+v AS (
+    SELECT *, CASE {' '.join(f"WHEN {_rule_sql(t)} THEN '{t}'" for _, t in _LONGEST)} END AS rule FROM s)
+SELECT page_id, host, path, rule,
+       CASE {' '.join(f"WHEN rule = '{t}' THEN '{v}'" for v, t in _LONGEST)}
+            WHEN ({_patterns_sql('block')}) AND NOT ({_patterns_sql('allow')}) THEN 'block'
+            ELSE 'allow' END AS verdict
+FROM v
+"""
+
+
+@query
+def op7_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False))
+    model = langid.train(docs, ~held_out)
+    return langid.predict(docs.select("doc_id", "text", held_out.alias("held_out")), model).drop("text")
