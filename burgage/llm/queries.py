@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, secret_scan, simhash, urls, warc
+from . import decontamination, langid, nearest, quality, secret_scan, simhash, urls, warc
 from .runs import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,3 +145,37 @@ def op7_language_id(spark, sf_dir):
     held_out = F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False))
     model = langid.train(docs, ~held_out)
     return langid.predict(docs.select("doc_id", "text", held_out.alias("held_out")), model).drop("text")
+
+
+@query
+def op1_decontamination(spark, sf_dir):
+    return decontamination.contaminated(table(spark, sf_dir, "documents"),
+                                        table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op8_quality(spark, sf_dir):
+    held_out = F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False))
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                            ~held_out).withColumn("held_out", held_out)
+
+
+@query
+def op10_nearest(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest.search(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+ORACLE_SQL["op10_nearest"] = """
+WITH e AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+d AS (
+    SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_sum(list_transform(
+        range(1, len(q.v) + 1), lambda i: (q.v[i] - c.v[i]) * (q.v[i] - c.v[i])))) AS score
+    FROM e q JOIN e c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM d)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
+"""
