@@ -159,3 +159,13 @@ def predict(docs: DataFrame, model: dict | None, text_col: str = "text") -> Data
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType())])
     return docs.mapInArrow(run, schema)
+
+
+def identified(docs: DataFrame, learn: Column, min_score: float, text_col: str = "text",
+               lang_col: str = "lang") -> DataFrame:
+    """The documents whose language can be told: not `und`, and with at least `min_score`."""
+    model = train(docs, learn, text_col, lang_col)
+    return (predict(docs.withColumnsRenamed({"lang_pred": "_lang_pred", "score": "_score"}), model, text_col)
+            .where((F.col("lang_pred") != "und") & (F.col("score") >= min_score))
+            .drop("lang_pred", "score")
+            .withColumnsRenamed({"_lang_pred": "lang_pred", "_score": "score"}).select(docs.columns))

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, langid, nearest, quality, secret_scan, simhash, urls, warc
+from . import (
+    decontamination, langid, mixing, nearest, quality, secret_scan, simhash, urls, warc,
+)
 from .runs import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -179,3 +181,69 @@ d AS (
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM d)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
 """
+
+
+@query
+def op9_mixing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs).drop("text")
+
+
+# Both conditions are bisected over the list of shares; the sums run in the list's order, so the
+# last digits of the exponent may differ, which no whole token depends on.
+ORACLE_SQL["op9_mixing"] = f"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, source, coalesce(source, '') AS s,
+           CAST(len(regexp_extract_all(coalesce(text, ''), '{mixing.TOKEN}')) AS BIGINT) AS t,
+           CAST(CAST('0x' || substr(md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8)
+                AS BIGINT) % {mixing.BLOCKS} AS INTEGER) AS b
+    FROM documents),
+blocks AS (SELECT s, b, CAST(sum(t) AS BIGINT) AS t FROM d GROUP BY s, b),
+sources AS (SELECT s, CAST(sum(t) AS BIGINT) AS t FROM blocks GROUP BY s HAVING sum(t) > 0),
+l AS (SELECT CAST(sum(t) AS DOUBLE) AS total, list(t / (SELECT CAST(sum(t) AS DOUBLE) FROM sources)
+             ORDER BY s) AS p FROM sources),
+step AS (
+    SELECT 0 AS i, 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi, 0.0::DOUBLE AS lo2, 1.0::DOUBLE AS hi2
+    UNION ALL
+    SELECT i + 1, CASE WHEN even THEN m ELSE lo END, CASE WHEN even THEN hi ELSE m END,
+           CASE WHEN often THEN m2 ELSE lo2 END, CASE WHEN often THEN hi2 ELSE m2 END
+    FROM (
+        SELECT *, ln(list_sum(list_transform(p, lambda x: pow(x, m))))
+                  - m * list_sum(list_transform(p, lambda x: pow(x, m) * ln(x)))
+                      / list_sum(list_transform(p, lambda x: pow(x, m)))
+                  >= {mixing.ENTROPY} * ln(len(p)) - 1e-12 AS even,
+               {mixing.BUDGET} * pow(list_min(p), m2 - 1)
+                   / list_sum(list_transform(p, lambda x: pow(x, m2))) > {mixing.MAX_PASSES} AS often
+        FROM (SELECT step.*, (lo + hi) / 2 AS m, (lo2 + hi2) / 2 AS m2, p FROM step, l WHERE i < 40))),
+a AS (
+    SELECT greatest(
+        CASE WHEN -list_sum(list_transform(p, lambda x: x * ln(x))) >= {mixing.ENTROPY} * ln(len(p)) - 1e-12
+             THEN 1.0 ELSE lo END,
+        CASE WHEN {mixing.BUDGET} / list_min(p) / len(p) > {mixing.MAX_PASSES} THEN hi2 ELSE 0.0 END) AS a,
+        total, p
+    FROM step, l WHERE i = 40),
+share AS (
+    SELECT s, t, CAST(floor(pow(t / total, a) / list_sum(list_transform(p, lambda x: pow(x, a)))
+                            * {mixing.BUDGET} * total) AS BIGINT) AS n FROM sources, a),
+plan AS (SELECT s, CAST(n // t AS INTEGER) AS full_, n % t AS rest FROM share),
+upto AS (
+    SELECT s, b, full_, rest, t, sum(t) OVER (
+        PARTITION BY s ORDER BY substr(md5('{mixing.SEED}:' || s || ':' || b || ':' || full_), 1, 8), b
+        ROWS UNBOUNDED PRECEDING) AS upto
+    FROM blocks JOIN plan USING (s)),
+k AS (
+    SELECT doc_id, source, d.s, d.b, d.t, full_, upto <= rest AS inside,
+           CASE WHEN upto > rest AND upto - upto.t < rest THEN rest - upto + upto.t END AS left_,
+           substr(md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || full_ || ':' || d.t),
+                  1, 16) AS key
+    FROM d JOIN upto ON d.s = upto.s AND d.b = upto.b),
+times AS (
+    SELECT *, full_ + CASE WHEN inside OR coalesce(
+        sum(t) OVER (PARTITION BY s, b ORDER BY key RANGE UNBOUNDED PRECEDING) <= left_, false)
+        THEN 1 ELSE 0 END AS n FROM k)
+SELECT doc_id, source, t AS n_tokens, pass, b AS block,
+       substr(md5('{mixing.SEED}:' || s || ':' || b || ':' || pass), 1, 8) AS block_key,
+       substr(md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || pass || ':' || t), 1, 16)
+           AS doc_key
+FROM (SELECT *, CAST(unnest(range(n)) AS INTEGER) AS pass FROM times)
+"""
