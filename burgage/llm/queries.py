@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    decontamination, langid, mixing, nearest, quality, secret_scan, simhash, urls, warc,
+    decontamination, langid, mixing, nearest, passages, quality, secret_scan, simhash, urls, warc,
 )
 from .runs import crc_mod
 
@@ -247,3 +247,8 @@ SELECT doc_id, source, t AS n_tokens, pass, b AS block,
            AS doc_key
 FROM (SELECT *, CAST(unnest(range(n)) AS INTEGER) AS pass FROM times)
 """
+
+
+@query
+def op5_passages(spark, sf_dir):
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
