@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,19 +43,23 @@ def clean_permits(
     days_range: tuple[int, int] | None = None,
     initcap_mode: str = "punctuation",
     date_suffix: str = "",
+    formats: Sequence[str] | None = None,
 ) -> DataFrame:
     """Permits with parsed dates, issue year, capitalised type and days from filing to issue.
 
-    Rows whose issue date does not parse are dropped. Without `days_range` rows keep missing,
+    Dates are read as ISO or month-first, or by `formats` if given. Rows whose issue date does
+    not parse are dropped, see `undated_permits` for them. Without `days_range` rows keep missing,
     negative and very large day counts; with it (bounds included) such rows are dropped as well.
     Stateless, so it also applies to a stream.
     """
     def dated(role: str) -> str:
         return role + date_suffix
 
-    # parse each date once, next to the scan, and let later columns refer to the result
+    # Each date is parsed once. A filter on a parsed date would be pushed to the scan with a copy
+    # of the whole expression, but not through a generator.
     parsed = raw.select(
-        *[parse_timestamp(roles[r]).alias(dated(r)) for r in _DATES if r in roles],
+        F.inline(F.array(F.struct(*[
+            parse_timestamp(roles[r], formats).alias(dated(r)) for r in _DATES if r in roles]))),
         *[(initcap_words(src, initcap_mode) if r == "permit_type" else F.col(f"`{src}`")).alias(r)
           for r, src in roles.items() if r not in _DATES],
     ).filter(F.col(dated("issued_date")).isNotNull())
@@ -75,6 +79,14 @@ def clean_permits(
     return parsed.select(*out, days.alias("processing_days"))
 
 
+def undated_permits(
+    raw: DataFrame, roles: Mapping[str, str] = PERMIT_ROLES, *,
+    formats: Sequence[str] | None = None,
+) -> DataFrame:
+    """The raw rows that `clean_permits` drops because their issue date is missing or illegible."""
+    return raw.filter(parse_timestamp(roles["issued_date"], formats).isNull())
+
+
 def clean_land_use(
     raw: DataFrame,
     *,
@@ -89,13 +101,25 @@ def clean_land_use(
 
 
 def clean_price_index(
-    raw: DataFrame, *, date: str = "observation_date", value: str = "value"
+    raw: DataFrame, *, date: str = "observation_date", value: str = "value",
+    formats: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Dated index values; rows whose date does not parse are dropped. Sort where it is written."""
-    return raw.select(parse_date(date).alias("observation_date"), F.col(value).alias("hpi_value")) \
+    """Dated index values; rows whose date does not parse are dropped, see `undated_index`.
+
+    Sort where it is written.
+    """
+    return raw.select(parse_date(date, formats).alias("observation_date"),
+                      F.col(value).alias("hpi_value")) \
         .filter(F.col("observation_date").isNotNull())
 
 
+def undated_index(
+    raw: DataFrame, *, date: str = "observation_date", formats: Sequence[str] | None = None
+) -> DataFrame:
+    """The raw rows that `clean_price_index` drops."""
+    return raw.filter(parse_date(date, formats).isNull())
+
+
 def clean_census(
     raw: DataFrame,
     *,

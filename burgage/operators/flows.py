@@ -37,42 +37,55 @@ def change_of_use(
     return counts.select(*nice, name)
 
 
-def _placed(edges: DataFrame, source: str, target: str, amount: str, k: int) -> DataFrame:
-    # at most k rows pass the limit, so the numbering below is bounded
-    order = [F.desc(amount), F.asc(source), F.asc(target)]
-    return edges.orderBy(*order).limit(k) \
-        .withColumn("_at", F.row_number().over(W.orderBy(*order)))
+def _largest(edges: DataFrame, k: int | None, source: str, target: str, amount: str) -> DataFrame:
+    return edges if k is None else edges.orderBy(F.desc(amount), source, target).limit(k)
+
+
+def _numbered(df: DataFrame, order: str) -> DataFrame:
+    """`df` with node_id from 0 in the order of the struct `order` (side, less, begin, end).
+
+    Rows are counted by the leading parts of the order, the counts' running total gives each of
+    them its first number, and rows are numbered within. So no task sees all rows.
+    """
+    lead = F.struct(f"{order}.side", f"{order}.less", F.substring(f"{order}.begin", 1, 2).alias("at"))
+    df = df.withColumn("_lead", lead)
+    counts = df.groupBy("_lead").agg(F.count("*").alias("_n"))
+    earlier = W.orderBy("_lead").rowsBetween(W.unboundedPreceding, -1)  # one row per leading part
+    counts = counts.select(F.col("_lead").alias("_same"),
+                           F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    within = F.row_number().over(W.partitionBy("_lead").orderBy(order))
+    return (df.join(counts, F.col("_lead").eqNullSafe(F.col("_same")))
+            .withColumn("node_id", (F.col("_before") + within - 1).cast("bigint"))
+            .drop("_lead", "_same", "_before"))
 
 
 def sankey_nodes(
-    edges: DataFrame, k: int = TOP_FLOWS, *, source: str = "existing_use",
+    edges: DataFrame, k: int | None = None, *, source: str = "existing_use",
     target: str = "proposed_use", amount: str = "flow_count",
 ) -> DataFrame:
-    """Numbered labels of the k largest edges: sources in order of first appearance, then the
-    targets that are no sources. Ids start at 0."""
+    """Numbered labels of all edges, or of the k largest: sources in order of first appearance,
+    then the targets that are no sources. Edges appear by amount, largest first, then by their
+    labels. Ids start at 0."""
     def end(side: int, label: str):
-        return F.struct(F.lit(side).alias("side"), F.col("_at").alias("at"),
+        return F.struct(F.lit(side).alias("side"), (-F.col(amount)).alias("less"),
+                        F.col(source).alias("begin"), F.col(target).alias("end"),
                         F.col(label).alias("label"))
 
-    ends = _placed(edges, source, target, amount, k) \
+    ends = _largest(edges, k, source, target, amount) \
         .select(F.inline(F.array(end(0, source), end(1, target))))
-    first = ends.groupBy("label").agg(F.min(F.struct("side", "at")).alias("_first"))
-    return first.select(
-        (F.row_number().over(W.orderBy("_first")) - 1).cast("bigint").alias("node_id"), "label")
+    first = ends.groupBy("label").agg(F.min(F.struct("side", "less", "begin", "end")).alias("_first"))
+    return _numbered(first, "_first").select("node_id", "label")
 
 
 def sankey_links(
-    edges: DataFrame, k: int = TOP_FLOWS, *, source: str = "existing_use",
+    edges: DataFrame, k: int | None = None, *, source: str = "existing_use",
     target: str = "proposed_use", amount: str = "flow_count",
 ) -> DataFrame:
-    """The k largest edges with their ends as node ids."""
+    """All edges, or the k largest, with their ends as node ids."""
     nodes = sankey_nodes(edges, k, source=source, target=target, amount=amount)
-    order = [F.desc(amount), F.asc(source), F.asc(target)]
     begin = nodes.select(F.col("node_id").alias("source_id"), F.col("label").alias(source))
     end = nodes.select(F.col("node_id").alias("target_id"), F.col("label").alias(target))
-    # nodes number at most 2k
     return (
-        edges.orderBy(*order).limit(k)
-        .join(F.broadcast(begin), source).join(F.broadcast(end), target)
+        _largest(edges, k, source, target, amount).join(begin, source).join(end, target)
         .select("source_id", "target_id", F.col(amount).alias("value"))
     )

@@ -2,10 +2,11 @@
 
 Spark's `percentile` keeps every distinct value of a group in one task. That is fine where the
 values come from a bounded range, such as days between 0 and 1000. For free values this module
-looks twice instead: it counts values by their leading digits, finds the bin in which a wanted
-position falls, and then looks at the single values of those bins only. With five digits there
-are 90,000 bins per power of ten, so of 10**12 distinct values between 1 and 10**5 neither step
-shows a task more than a few million rows, whichever group they belong to.
+narrows down in a fixed number of rounds: values are counted in bins, the bins that hold a wanted
+position are found from the counts, and their values are binned more finely. The first round bins
+by leading digits, which needs no look at the data; each further one cuts a kept bin's own range,
+from its least to its largest value, into even slices. So values that lie close together are told
+apart as well, and the last step, value by value, sees a small part of a bin. Only counts move.
 """
 
 from __future__ import annotations
@@ -20,9 +21,9 @@ from pyspark.sql import functions as F
 # significant digits that make up a bin
 _DIGITS = 5
 
-# With this many groups at most, the bins of interest (a few per group) go to every task, and the
-# counts stay where they are. With more groups the counts are shuffled to the bins.
-_FEW_GROUPS = 50_000
+# further rounds, and the slices that each cuts a bin's range into
+_ROUNDS = 2
+_SLICES = 65_536
 
 
 def histogram(df: DataFrame, value: str, keys: Sequence[str] = (), n: str = "n") -> DataFrame:
@@ -33,11 +34,6 @@ def histogram(df: DataFrame, value: str, keys: Sequence[str] = (), n: str = "n")
     return df.filter(present).groupBy(*keys, value).agg(F.count("*").alias(n))
 
 
-def has_at_most(df: DataFrame, keys: Sequence[str], limit: int = _FEW_GROUPS) -> bool:
-    """Whether the keys take at most `limit` values. Runs a job that reads only the keys."""
-    return not keys or df.select(*keys).distinct().limit(limit + 1).count() <= limit
-
-
 def _bin(value: Column) -> Column:
     """A bigint that never falls as the value rises, and is the same for equal leading digits."""
     size = F.abs(value.cast("double"))
@@ -50,6 +46,13 @@ def _bin(value: Column) -> Column:
     return F.when(value == 0, F.lit(0)).when(value < 0, -code).otherwise(code).cast("bigint")
 
 
+def _slice(value: Column, low: Column, high: Column) -> Column:
+    """The slice of [low, high] that a value lies in; 0 where the range has no finite width."""
+    low, width = low.cast("double"), high.cast("double") - low.cast("double")
+    part = F.floor((value.cast("double") - low) / width * float(_SLICES))
+    return F.when((width > 0) & (width < float("inf")), part).otherwise(F.lit(0)).cast("bigint")
+
+
 def _positions(probs: Sequence[float]) -> list[tuple[Column, Column, Column]]:
     """For each probability: the 0-based position below, the one above, and the way between."""
     out = []
@@ -64,6 +67,37 @@ def _holds(position: Column) -> Column:
     return (F.col("_before") <= position) & (position < F.col("_before") + F.col("_n"))
 
 
+def _narrowed(
+    counts: DataFrame, group: list[str], spots: list[tuple[Column, Column, Column]]
+) -> tuple[DataFrame, list[str]]:
+    """The values in the last bins that hold a wanted position, and the columns that name a bin.
+
+    `_before` is the number of rows of the group before the bin, `_total` that of the group.
+    """
+    wanted = reduce(lambda a, b: a | b, [_holds(x) for s in spots for x in s[:2]])
+    path, code = list(group), _bin(F.col("_v"))
+    for depth in range(_ROUNDS + 1):
+        here = f"_bin{depth}"
+        binned = counts.withColumn(here, code)
+        before = F.lit(0) if depth == 0 else F.max("_before")
+        earlier = W.partitionBy(*path).orderBy(here).rowsBetween(W.unboundedPreceding, -1)
+        bins = binned.groupBy(*path, here).agg(
+            F.sum("_n").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"),
+            before.alias("_start"), *([] if depth == 0 else [F.max("_total").alias("_total")]))
+        if depth == 0:
+            bins = bins.withColumn("_total", F.sum("_n").over(W.partitionBy(*path)))
+        bins = bins.withColumn(
+            "_before", F.col("_start") + F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+        ).filter(wanted)
+        path = [*path, here]
+        kept = bins.select(*[F.col(c).alias("_r" + c) for c in path], "_low", "_high", "_before",
+                           "_total")
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col("_r" + c)) for c in path])
+        counts = binned.select(*path, "_v", "_n").join(kept, same).drop(*["_r" + c for c in path])
+        code = _slice(F.col("_v"), F.col("_low"), F.col("_high"))
+    return counts, path
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,
@@ -74,10 +108,9 @@ def exact_quantiles(
     """Linearly interpolated quantiles per key group, one double column per probability.
 
     A group without any value has no row, but without keys there always is one. NULL keys form
-    a group. The keys are counted first, see `has_at_most`.
+    a group. Nothing runs before the result is asked for.
     """
-    return quantiles_of_counts(histogram(df, value, keys, "_n"), value, "_n", probs, keys, names,
-                               few_groups=has_at_most(df, keys))
+    return quantiles_of_counts(histogram(df, value, keys, "_n"), value, "_n", probs, keys, names)
 
 
 def quantiles_of_counts(
@@ -87,32 +120,15 @@ def quantiles_of_counts(
     probs: Sequence[float],
     keys: Sequence[str] = (),
     names: Sequence[str] | None = None,
-    *,
-    few_groups: bool = False,
 ) -> DataFrame:
     """The same from a table that has each value of a group once, with its number of rows."""
     names = list(names) if names else [f"q{i}" for i in range(len(probs))]
     group = [f"_k{i}" for i in range(len(keys))]
-    binned = [*group, "_bin"]
     spots = _positions(probs)
-    counts = counts.select(
+    near, path = _narrowed(counts.select(
         *[F.col(k).alias(g) for k, g in zip(keys, group)], F.col(value).alias("_v"),
-        F.col(n).alias("_n"), _bin(F.col(value)).alias("_bin"))
-
-    # the bins that hold a wanted position, with the rows before them
-    earlier = W.partitionBy(*group).orderBy("_bin").rowsBetween(W.unboundedPreceding, -1)
-    bins = (
-        counts.groupBy(*binned).agg(F.sum("_n").alias("_n"))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        .withColumn("_total", F.sum("_n").over(W.partitionBy(*group)))
-        .filter(reduce(lambda a, b: a | b, [_holds(x) for s in spots for x in s[:2]]))
-        .select(*[F.col(c).alias("_r" + c) for c in binned], "_before", "_total")
-    )
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col("_r" + c)) for c in binned])
-    near = counts.join(F.broadcast(bins) if few_groups else bins, same)
-
-    # the same again, value by value within those bins
-    smaller = W.partitionBy(*binned).orderBy("_v").rowsBetween(W.unboundedPreceding, -1)
+        F.col(n).alias("_n")), group, spots)
+    smaller = W.partitionBy(*path).orderBy("_v").rowsBetween(W.unboundedPreceding, -1)
     placed = near.withColumn(
         "_before", F.col("_before") + F.coalesce(F.sum("_n").over(smaller), F.lit(0)))
 
@@ -142,6 +158,6 @@ def medians(df: DataFrame, values: Sequence[str], keys: Sequence[str] = ()) -> D
         for v in values])).alias("_pair")).select(*keys, "_pair.*")
     by = [*keys, "_column"]
     found = quantiles_of_counts(histogram(long, "_value", by, "_n"), "_value", "_n", [0.5], by,
-                                ["_median"], few_groups=has_at_most(df, keys))
+                                ["_median"])
     return found.groupBy(*keys).agg(*[
         F.max(F.when(F.col("_column") == v, F.col("_median"))).alias(v) for v in values])

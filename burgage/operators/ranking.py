@@ -28,14 +28,14 @@ def top_categories(df: DataFrame, category: str, k: int, weight: str | None = No
 def keep_top_categories(
     df: DataFrame, category: str, k: int, weight: str | None = None
 ) -> DataFrame:
-    """Rows of the k top categories. The list of them has at most k rows, hence the broadcast.
+    """Rows of the k top categories.
 
     Both sides start from the same filtered rows, and the list is joined instead of
     semi-joined, so that Spark can compute what `df` stands for once and use it twice.
     """
     known = df.filter(F.col(category).isNotNull())
     top = top_categories(known, category, k, weight).select(category)
-    return known.join(F.broadcast(top), category).select(*df.columns)
+    return known.join(top, category).select(*df.columns)
 
 
 def value_counts(df: DataFrame, column: str, name: str = "row_count") -> DataFrame:
@@ -78,7 +78,7 @@ def _row_hash(keys: Sequence[str], seed: int) -> Column:
 def sample_rows(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> DataFrame:
     """Exactly n rows (or all, if fewer), the same on every run: those with the smallest hash.
 
-    `keys` must tell rows apart. Sorting for the n smallest would have every task send n rows to
+    `keys` must tell rows apart. `df` is evaluated twice. Sorting for the n smallest would have every task send n rows to
     the last one, so the hashes are first counted by their leading digits, at most 16**5 counts;
     the digits at which n rows are reached cut off all but about n rows before the sort.
     """

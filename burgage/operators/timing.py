@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import DAYS_RANGE, TOP_TIMING_TYPES
-from .quantiles import has_at_most, histogram, quantiles_of_counts
+from .quantiles import histogram, quantiles_of_counts
 from .ranking import keep_top_categories
 
 
@@ -20,13 +20,14 @@ def processing_time(
 
 def processing_stats(
     df: DataFrame, *, category: str = "permit_type", days: str = "processing_days",
-    digits: int = 1, approx: bool = False,
+    digits: int = 1, approx: bool = False, whole_days: bool = True,
 ) -> DataFrame:
     """Rows, mean, median, least and most days per category, in no stored order.
 
     Rows are counted per (category, days) first. Whole days take few distinct values, so all
     figures, the exact median included, come from that small table; sums stay whole numbers.
-    `approx` takes an approximate median for measures that are not whole days.
+    For other measures, which may differ in every row, `whole_days=False` finds the exact median
+    in rounds and `approx` an approximate one.
     """
     if approx:
         return df.groupBy(category).agg(
@@ -38,12 +39,18 @@ def processing_stats(
     per_day = df.groupBy(category, days).agg(F.count("*").alias("_n"))
     timed = F.sum(F.when(F.col(days).isNotNull(), F.col("_n")))
     mean = F.try_divide(F.sum(F.col(days) * F.col("_n")).cast("double"), timed)
-    return per_day.groupBy(category).agg(
-        F.sum("_n").alias("count"),
-        F.round(mean, digits).alias("avg_days"),
-        F.percentile(F.col(days), 0.5, F.col("_n")).alias("median_days"),
-        F.min(days).alias("min_days"),
-        F.max(days).alias("max_days"))
+    figures = [F.sum("_n").alias("count"), F.round(mean, digits).alias("avg_days"),
+               F.min(days).alias("min_days"), F.max(days).alias("max_days")]
+    if whole_days:
+        return per_day.groupBy(category).agg(
+            *figures[:2], F.percentile(F.col(days), 0.5, F.col("_n")).alias("median_days"),
+            *figures[2:])
+    middle = quantiles_of_counts(per_day.filter(F.col(days).isNotNull()), days, "_n", [0.5],
+                                 [category], ["median_days"])
+    middle = middle.withColumnRenamed(category, "_category")
+    found = per_day.groupBy(category).agg(*figures)
+    return found.join(middle, found[category].eqNullSafe(middle["_category"]), "left").select(
+        category, "count", "avg_days", "median_days", "min_days", "max_days")
 
 
 def processing_time_top_types(
@@ -67,7 +74,6 @@ def box_summary(
     counts = histogram(df.filter(F.col(category).isNotNull()), value, [category], "_n")
     if k is not None:
         counts = keep_top_categories(counts, category, k, "_n")
-    few = k is not None or has_at_most(df, [category])
     names = ["q1", "median", "q3"]
     if bounded_values:
         box = (counts.groupBy(category)
@@ -75,12 +81,10 @@ def box_summary(
                                  F.col("_n")).alias("_q"))
                .select(category, *[F.col("_q")[i].alias(q) for i, q in enumerate(names)]))
     else:
-        box = quantiles_of_counts(counts, value, "_n", (0.25, 0.5, 0.75), [category], names,
-                                  few_groups=few)
+        box = quantiles_of_counts(counts, value, "_n", (0.25, 0.5, 0.75), [category], names)
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = F.col(value).between(F.col("q1") - reach, F.col("q3") + reach)
-    # one row per category, so with few of them the counts need not move
-    return counts.join(F.broadcast(box) if few else box, category).groupBy(category, *names).agg(
+    return counts.join(box, category).groupBy(category, *names).agg(
         F.sum("_n").alias("row_count"),
         F.min(F.when(inside, F.col(value))).alias("whisker_low"),
         F.max(F.when(inside, F.col(value))).alias("whisker_high"),

@@ -54,7 +54,7 @@ def issued_by_brand(
 
 def _timed(df: DataFrame, *more: Column) -> DataFrame:
     return df.select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate",
         F.col("o_orderpriority").alias("permit_type"),
         F.year("l_shipdate").cast("bigint").alias("issued_year"),
         days_between("o_orderdate", "l_shipdate").alias("processing_days"),

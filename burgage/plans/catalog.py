@@ -13,15 +13,17 @@ from ..operators import activity, cleaning, combined, flows, quantiles, ranking,
 from ..operators import profile as profiles
 from ..operators import series, timing
 from ..schemas import CENSUS_VARIABLES, COUNTIES, SAMPLE_ROWS, layout
-from ..session import scratch_path
-from ..sources import (Typed, append_all, decode_json_table, export_csv, list_landed, read_csv,
-                       read_csv_inferred, type_columns, write_table)
+from ..session import kept, scratch_path
+from ..sources import (Typed, append_all, decode_json_table, export_all, export_csv, read_csv,
+                       read_csv_inferred, read_json_tables, register_view, rejected_responses,
+                       type_columns, write_table)
 from . import bindings as b
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 YEARS = (1996, 2000)
-SAMPLE_KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+ALL_YEARS = (1, 9998)
+SAMPLE_KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
 CUSTOMER_LAYOUT = layout("custkey:long name segment balance:money nationkey:long")
 
 
@@ -109,8 +111,7 @@ def top_share(spark, sf):
 
 
 def peak_years(spark, sf):
-    counts = activity.trend(b.issued_by_brand(spark, sf, YEARS), years=YEARS)
-    return activity.peak_years(counts)
+    return activity.peak_years(activity.trend(b.issued_by_brand(spark, sf), years=ALL_YEARS))
 
 
 def type_value_counts(spark, sf):
@@ -163,15 +164,33 @@ def change_of_use(spark, sf):
 
 
 def change_of_use_merged(spark, sf):
+    return flows.change_of_use(b.use_changes(spark, sf), 15, normalise="before",
+                               initcap_mode="space")
+
+
+def change_of_use_merged_words(spark, sf):
+    """Merged by labels that are capitalised after punctuation as well."""
     return flows.change_of_use(b.use_changes(spark, sf), 15, normalise="before")
 
 
 def sankey_nodes(spark, sf):
-    return flows.sankey_nodes(change_of_use_merged(spark, sf))
+    return flows.sankey_nodes(change_of_use_merged_words(spark, sf))
 
 
 def sankey_links(spark, sf):
-    return flows.sankey_links(change_of_use_merged(spark, sf))
+    return flows.sankey_links(change_of_use_merged_words(spark, sf))
+
+
+def _all_flows(spark: SparkSession, sf: str) -> DataFrame:
+    return flows.change_of_use(b.use_changes(spark, sf), None, normalise="before")
+
+
+def sankey_nodes_all(spark, sf):
+    return flows.sankey_nodes(_all_flows(spark, sf))
+
+
+def sankey_links_all(spark, sf):
+    return flows.sankey_links(_all_flows(spark, sf))
 
 
 # ---- two tables ----
@@ -222,8 +241,7 @@ def colour_bounds(spark, sf):
 
 def county_markers(spark, sf):
     clean = cleaning.clean_census(b.census_raw(spark, sf))
-    return rounded(regions.county_markers(regions.county_stats(clean),
-                                          regions.colour_bounds(clean)))
+    return rounded(regions.county_markers(*regions.county_stats_and_bounds(clean)))
 
 
 def county_markers_fixed_range(spark, sf):
@@ -240,6 +258,21 @@ def order_price_quantiles(spark, sf):
         ["p10", "p50", "p90"]))
 
 
+def event_time_quantiles(spark, sf):
+    """Of times in microseconds, which differ in their last digits only."""
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    return rounded(quantiles.exact_quantiles(
+        b.table(spark, sf, "events").select("event_type", micros.alias("micros")), "micros",
+        (0.1, 0.5, 0.9), ["event_type"], ["p10", "p50", "p90"]), 0)
+
+
+def cost_stats(spark, sf):
+    """Statistics of a measure that is no whole number of days."""
+    lines = b.table(spark, sf, "lineitem").select("l_returnflag", "l_extendedprice")
+    return rounded(timing.processing_stats(
+        lines, category="l_returnflag", days="l_extendedprice", digits=1, whole_days=False), 1)
+
+
 def attached_areas(spark, sf):
     areas = b.table(spark, sf, "orders").select(
         "o_orderkey", F.concat(F.lit("06"), F.col("o_custkey").cast("string")).alias("geoid"))
@@ -264,9 +297,28 @@ def appended_responses(spark, sf):
         decode_json_table(b.supplier_responses(spark, sf), fields)])
 
 
+def census_landed(spark, sf):
+    """The responses as files, read again with one file among them that is no table."""
+    path = scratch_path(spark, "census-responses")
+    broken = b.table(spark, sf, "region").filter("r_regionkey = 0").select(F.lit("no table").alias("value"))
+    b.census_responses(spark, sf).union(broken).write.option("maxRecordsPerFile", 1).text(path)
+    landed = read_json_tables(spark, path)
+    rows = decode_json_table(landed, {"NAME": "name", "county": "county", "tract": "tract"})
+    return rows.unionByName(rejected_responses(landed).select(
+        F.trim(F.replace("value", F.lit("\n"))).alias("name")), allowMissingColumns=True)
+
+
+_customer_lines: dict[tuple[str, str], str] = {}
+
+
 def _loaded_customers(spark: SparkSession, sf: str) -> Typed:
-    path = scratch_path(spark, "customer-lines")
-    b.customer_lines(spark, sf).write.text(path)
+    """The lines are written once per application, for the loaded rows and for the rejects."""
+    key = spark.sparkContext.applicationId, sf
+    if key not in _customer_lines:
+        path = scratch_path(spark, "customer-lines")
+        b.customer_lines(spark, sf).write.text(path)
+        _customer_lines[key] = path
+    path = _customer_lines[key]
     return type_columns(read_csv(spark, path, CUSTOMER_LAYOUT, header=False), CUSTOMER_LAYOUT)
 
 
@@ -308,11 +360,40 @@ def stored_trend(spark, sf):
         F.col("issued_year").cast("bigint").alias("issued_year"), "permit_type", "permit_count")
 
 
-def landed_bytes(spark, sf):
-    """Size of each table as landed."""
-    name = F.regexp_extract("path", r"([^/]+)\.parquet", 1)
-    return list_landed(spark, sf, "*.parquet").groupBy(name.alias("table_name")) \
-        .agg(F.sum("length").alias("bytes"), F.count("*").alias("file_count"))
+def view_trend(spark, sf):
+    """The trend as a query on a registered view."""
+    register_view(b.issued(spark, sf, YEARS), "issued_permits")
+    return spark.sql("""SELECT issued_year, permit_type, count(*) AS permit_count
+                        FROM issued_permits GROUP BY issued_year, permit_type""")
+
+
+def kept_trend(spark, sf):
+    """Two reports from one table that is kept meanwhile."""
+    with kept(b.issued(spark, sf, YEARS)) as permits:
+        return activity.trend(permits, years=YEARS).withColumn(
+            "all_permits", F.lit(permits.count()))
+
+
+def stored_once(spark, sf):
+    """A second write to a table that is there changes nothing."""
+    path = scratch_path(spark, "parcels")
+    parcels = b.parcels(spark, sf).select("blklot", "landuse", "units")
+    write_table(parcels, path, mode="ignore")
+    write_table(parcels.filter("units < 10"), path, mode="ignore")
+    return spark.read.parquet(path)
+
+
+def exported_views(spark, sf):
+    """Two reports, each exported to one file and read back."""
+    views = {"housing": housing_types(spark, sf).select(F.col("restype").alias("label"),
+                                                        F.col("parcel_count").alias("n")),
+             "types": type_value_counts(spark, sf).select(F.col("permit_type").alias("label"),
+                                                          F.col("row_count").alias("n"))}
+    paths = export_all(views, scratch_path(spark, "views"), single_file=True,
+                       orders={name: ["label"] for name in views})
+    return append_all([
+        type_columns(read_csv(spark, path, layout("label n:long")), layout("label n:long")).good
+        .withColumn("view", F.lit(name)) for name, path in paths.items()])
 
 
 def table_profile(spark, sf):
@@ -344,10 +425,13 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     use_type_counts, top_share, peak_years, type_value_counts,
     processing_time, processing_time_sample, processing_stats, processing_stats_all_days,
     processing_time_top_types, processing_time_box, cost_box,
-    change_of_use, change_of_use_merged, sankey_nodes, sankey_links,
+    change_of_use, change_of_use_merged, change_of_use_merged_words, sankey_nodes, sankey_links,
+    sankey_nodes_all, sankey_links_all,
     income_vs_wait, income_vs_wait_keep_unmatched, income_wait_scatter, permits_vs_hpi,
     hpi_series, county_stats, county_stats_from_text, colour_bounds, county_markers,
-    county_markers_fixed_range, order_price_quantiles, attached_areas,
-    census_landing, appended_responses, csv_load, csv_rejects, csv_export_multiline,
-    csv_inferred, stored_trend, landed_bytes, table_profile, label_texts,
+    county_markers_fixed_range, order_price_quantiles, event_time_quantiles, cost_stats,
+    attached_areas,
+    census_landing, census_landed, appended_responses, csv_load, csv_rejects, csv_export_multiline,
+    csv_inferred, stored_trend, stored_once, view_trend, kept_trend, exported_views, table_profile,
+    label_texts,
 )}

@@ -20,7 +20,7 @@ def _spaced(x: str) -> str:
 
 _TIMED = """
 timed AS (
-  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, o_custkey,
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, o_custkey,
          o_orderpriority AS permit_type, year(l_shipdate) AS issued_year,
          date_diff('day', o_orderdate, l_shipdate) AS processing_days,
          CAST(l_extendedprice AS DECIMAL(18,2)) AS estimated_cost
@@ -82,14 +82,16 @@ changes AS (
   JOIN nation n2 ON s_nationkey = n2.n_nationkey JOIN region r2 ON n2.n_regionkey = r2.r_regionkey)
 """
 
-_MERGED = _CHANGES + f""",
+
+def _merged(cap, limit: str = "LIMIT 15") -> str:
+    return _CHANGES + f""",
 merged AS (
-  SELECT {_initcap('src')} AS existing_use, {_initcap('dst')} AS proposed_use,
-         count(*) AS flow_count
+  SELECT {cap('src')} AS existing_use, {cap('dst')} AS proposed_use, count(*) AS flow_count
   FROM changes WHERE src <> dst GROUP BY 1, 2
-  ORDER BY flow_count DESC, existing_use, proposed_use LIMIT 15)"""
+  ORDER BY flow_count DESC, existing_use, proposed_use {limit})"""
+
 
-_NODES = _MERGED + """,
+_NODES = """,
 edges AS (
   SELECT *, row_number() OVER (ORDER BY flow_count DESC, existing_use, proposed_use) AS pos
   FROM merged),
@@ -102,6 +104,10 @@ nodes AS (
   FROM (SELECT 0 AS side, pos, label FROM sources
         UNION ALL SELECT 1, pos, label FROM targets))"""
 
+_LINKS = """
+SELECT s.node_id AS source_id, t.node_id AS target_id, flow_count AS value
+FROM edges JOIN nodes s ON s.label = existing_use JOIN nodes t ON t.label = proposed_use"""
+
 _TRACTS = """
 tracts AS (
   SELECT s_nationkey AS tract, s_acctbal AS median_income,
@@ -305,7 +311,8 @@ SELECT neighborhood, count(*) AS permit_count,
        round(count(*) / CAST(sum(count(*)) OVER () AS DOUBLE), 6) AS share
 FROM placed GROUP BY 1 ORDER BY permit_count DESC, neighborhood LIMIT 5""",
 
-    "peak_years": f"""WITH {_BRAND_TREND},
+    "peak_years": f"""WITH {_BRANDS},
+trend AS (SELECT issued_year, permit_type, count(*) AS permit_count FROM brands GROUP BY ALL),
 changes AS (
   SELECT *, permit_count - lag(permit_count) OVER (PARTITION BY permit_type
                                                    ORDER BY issued_year) AS change,
@@ -324,8 +331,9 @@ SELECT permit_type, processing_days FROM timed WHERE processing_days BETWEEN 0 A
 
     "processing_time_sample": f"""WITH {_TIMED}
 SELECT permit_type, processing_days FROM timed WHERE processing_days BETWEEN 0 AND 1000
-ORDER BY md5(concat_ws('~', l_orderkey, l_linenumber, l_partkey, l_suppkey, '42')),
-         l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 10000""",
+ORDER BY md5(concat_ws('~', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate,
+                       '42')),
+         l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate LIMIT 10000""",
 
     "processing_stats": f"WITH {_TIMED}" + _STATS_SQL.format(
         where="WHERE processing_days BETWEEN 0 AND 1000"),
@@ -343,11 +351,12 @@ SELECT {_initcap('src')} AS existing_use, {_initcap('dst')} AS proposed_use, flo
 FROM (SELECT src, dst, count(*) AS flow_count FROM changes WHERE src <> dst
       GROUP BY 1, 2 ORDER BY flow_count DESC, src, dst LIMIT 15)""",
 
-    "change_of_use_merged": f"WITH {_MERGED} SELECT * FROM merged",
-    "sankey_nodes": f"WITH {_NODES} SELECT node_id, label FROM nodes",
-    "sankey_links": f"""WITH {_NODES}
-SELECT s.node_id AS source_id, t.node_id AS target_id, flow_count AS value
-FROM edges JOIN nodes s ON s.label = existing_use JOIN nodes t ON t.label = proposed_use""",
+    "change_of_use_merged": f"WITH {_merged(_spaced)} SELECT * FROM merged",
+    "change_of_use_merged_words": f"WITH {_merged(_initcap)} SELECT * FROM merged",
+    "sankey_nodes": f"WITH {_merged(_initcap)} {_NODES} SELECT node_id, label FROM nodes",
+    "sankey_links": f"WITH {_merged(_initcap)} {_NODES} {_LINKS}",
+    "sankey_nodes_all": f"WITH {_merged(_initcap, '')} {_NODES} SELECT node_id, label FROM nodes",
+    "sankey_links_all": f"WITH {_merged(_initcap, '')} {_NODES} {_LINKS}",
 
     "income_vs_wait": _income("INNER"),
     "income_vs_wait_keep_unmatched": _income("LEFT"),
@@ -391,6 +400,16 @@ SELECT round(quantile_cont(median_rent, 0.1), 4) AS vmin,
        round(quantile_cont(o_totalprice, 0.5), 4) AS p50,
        round(quantile_cont(o_totalprice, 0.9), 4) AS p90 FROM orders GROUP BY 1""",
 
+    "event_time_quantiles": """SELECT event_type,
+       round(quantile_cont(CAST(epoch_us(ts) AS DOUBLE), 0.1), 0) AS p10,
+       round(quantile_cont(CAST(epoch_us(ts) AS DOUBLE), 0.5), 0) AS p50,
+       round(quantile_cont(CAST(epoch_us(ts) AS DOUBLE), 0.9), 0) AS p90 FROM events GROUP BY 1""",
+
+    "cost_stats": """SELECT l_returnflag, count(*) AS count, round(avg(l_extendedprice), 1) AS avg_days,
+       round(quantile_cont(l_extendedprice, 0.5), 1) AS median_days,
+       round(min(l_extendedprice), 1) AS min_days, round(max(l_extendedprice), 1) AS max_days
+FROM lineitem GROUP BY 1""",
+
     "attached_areas": f"""WITH {_CENSUS}
 SELECT o_orderkey, '06' || o_custkey AS geoid, median_rent
 FROM orders LEFT JOIN census ON census.geoid = '06' || o_custkey""",
@@ -400,6 +419,10 @@ FROM orders LEFT JOIN census ON census.geoid = '06' || o_custkey""",
        '06' AS state,
        '06' || lpad(CAST(c_nationkey AS VARCHAR), 3, '0') || c_custkey AS geoid FROM customer""",
 
+    "census_landed": """SELECT c_name AS name, lpad(CAST(c_nationkey AS VARCHAR), 3, '0') AS county,
+       CAST(c_custkey AS VARCHAR) AS tract FROM customer
+UNION ALL SELECT 'no table', NULL, NULL""",
+
     "appended_responses": """SELECT c_name AS name, CAST(c_acctbal AS VARCHAR) AS median_rent,
        lpad(CAST(c_nationkey AS VARCHAR), 3, '0') AS county, CAST(c_custkey AS VARCHAR) AS tract
 FROM customer UNION ALL
@@ -426,6 +449,19 @@ SELECT year(issued_date) AS issued_year, {_initcap('permit_type_definition')} AS
        count(*) AS permit_count FROM dated WHERE year(issued_date) BETWEEN 1996 AND 2000
 GROUP BY 1, 2""",
 
+    "stored_once": f"""WITH {_PARCELS} SELECT blklot, landuse, units FROM parcels""",
+
+    "view_trend": """SELECT year(l_shipdate) AS issued_year, l_returnflag AS permit_type,
+       count(*) AS permit_count FROM lineitem WHERE year(l_shipdate) BETWEEN 1996 AND 2000 GROUP BY 1, 2""",
+
+    "kept_trend": """SELECT year(l_shipdate) AS issued_year, l_returnflag AS permit_type,
+       count(*) AS permit_count, CAST(sum(count(*)) OVER () AS INTEGER) AS all_permits
+FROM lineitem WHERE year(l_shipdate) BETWEEN 1996 AND 2000 GROUP BY 1, 2""",
+
+    "exported_views": f"""SELECT restype AS label, parcel_count AS n, 'housing' AS view FROM ({_HOUSING})
+UNION ALL SELECT permit_type, count(*), 'types' FROM (WITH {_TIMED} SELECT permit_type FROM timed)
+GROUP BY 1""",
+
     "table_profile": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_count, CAST({w} AS BIGINT) AS column_count "
         f"FROM {t}" for t, w in _TABLE_WIDTHS.items()),

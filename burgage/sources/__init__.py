@@ -2,11 +2,11 @@
 
 from .csvfiles import (Typed, list_landed, null_tokens, read_csv, read_csv_inferred,
                        type_columns)
-from .jsontables import append_all, decode_json_table, read_json_tables
+from .jsontables import append_all, decode_json_table, read_json_tables, rejected_responses
 from .sinks import export_all, export_csv, register_view, write_table
 
 __all__ = [
     "Typed", "append_all", "decode_json_table", "export_all", "export_csv", "list_landed", "null_tokens",
-    "read_csv", "read_csv_inferred", "read_json_tables", "register_view", "type_columns",
-    "write_table",
+    "read_csv", "read_csv_inferred", "read_json_tables", "register_view", "rejected_responses",
+    "type_columns", "write_table",
 ]

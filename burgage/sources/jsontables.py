@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 
 
 def read_json_tables(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """One row per landed response file, its text in `value`.
+    """One row per landed response file, its text in `value` and where it lies in `path`.
 
     A response is one JSON value, so a file is the unit of parallel work here. All responses
     under `path` (a folder, a glob or a list) are appended.
     """
-    return spark.read.text(path if isinstance(path, str) else list(path), wholetext=True)
+    return spark.read.text(path if isinstance(path, str) else list(path), wholetext=True) \
+        .select("value", F.col("_metadata.file_path").alias("path"))
 
 
 def decode_json_table(
@@ -28,7 +29,8 @@ def decode_json_table(
 
     `columns` names the wanted header fields; given as a mapping it renames them. Values are
     found by each response's own header, so responses may order their fields differently. A
-    field that a response lacks is NULL; a response that is not such a table gives no rows.
+    field that a response lacks is NULL; a response that is not such a table gives no rows, see
+    `rejected_responses`.
     """
     wanted = dict(columns) if isinstance(columns, Mapping) else {c: c for c in columns}
     grid = F.from_json(F.col(text), "array<array<string>>")
@@ -47,6 +49,12 @@ def decode_json_table(
     return rows.select([field(name).alias(alias) for name, alias in wanted.items()])
 
 
+def rejected_responses(responses: DataFrame, *, text: str = "value") -> DataFrame:
+    """The responses that are no table with a header row."""
+    header = F.try_element_at(F.from_json(F.col(text), "array<array<string>>"), F.lit(1))
+    return responses.filter(header.isNull() | (F.size(header) == 0))
+
+
 def append_all(parts: Sequence[DataFrame]) -> DataFrame:
     """All rows of all parts, columns matched by name; a column that a part lacks is NULL."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

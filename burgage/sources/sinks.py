@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from types import MappingProxyType
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 
 def write_table(
@@ -45,31 +46,33 @@ def export_csv(
     path: str,
     *,
     single_file: bool = False,
-    max_single_rows: int = 1_000_000,
+    order_by: Sequence[str | Column] = (),
     mode: str = "overwrite",
 ) -> None:
     """Write CSV with a header, by default in as many files as there are tasks.
 
-    `single_file` sends the result through one task, so rows are counted first and more than
-    `max_single_rows` are refused. After that a limit cuts nothing, but it gathers the rows in
-    their order, while all earlier work stays spread out (which `coalesce(1)` would not do).
+    `single_file` gathers all rows in one task, which writes them; earlier work stays spread out
+    (which `coalesce(1)` would not do). Meant for results, not for tables of any size. Gathering
+    keeps no order, so give `order_by` where the file is to have one.
     """
     if single_file:
-        rows = df.count()
-        if rows > max_single_rows:
-            raise ValueError(f"{rows} rows are too many for one file; export without single_file")
-        df = df.limit(max_single_rows)
+        df = df.repartition(1)
+        if order_by:
+            df = df.sortWithinPartitions(*order_by)
+    elif order_by:
+        df = df.orderBy(*order_by)
     (df.write.mode(mode).option("header", True).option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(path))
 
 
 def export_all(
-    views: Mapping[str, DataFrame], folder: str, *, single_file: bool = False
+    views: Mapping[str, DataFrame], folder: str, *, single_file: bool = False,
+    orders: Mapping[str, Sequence[str | Column]] = MappingProxyType({}),
 ) -> dict[str, str]:
-    """Export each named result below `folder`; returns name -> path."""
+    """Export each named result below `folder`, in its order if `orders` has one; name -> path."""
     paths = {}
     for name, df in views.items():
         paths[name] = f"{folder.rstrip('/')}/{name}"
-        export_csv(df, paths[name], single_file=single_file)
+        export_csv(df, paths[name], single_file=single_file, order_by=orders.get(name, ()))
     return paths
