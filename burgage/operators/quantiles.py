@@ -40,7 +40,8 @@ def _bin(value: Column) -> Column:
     scale = 10 ** (_DIGITS - 1)
     # 400 is beyond any double's exponent; it also stands in for the exponent of infinity
     exponent = F.least(F.floor(F.log10(size)), F.lit(400))
-    lead = F.floor(size / F.pow(F.lit(10.0), exponent) * float(scale))
+    # the smallest numbers have powers of ten below any double
+    lead = F.coalesce(F.floor(F.try_divide(size, F.pow(F.lit(10.0), exponent)) * float(scale)), F.lit(0))
     # a lead may just reach 10 * scale through rounding, so an exponent spans more than that
     code = (exponent + 400) * (20 * scale) + lead
     return F.when(value == 0, F.lit(0)).when(value < 0, -code).otherwise(code).cast("bigint")
@@ -49,8 +50,9 @@ def _bin(value: Column) -> Column:
 def _slice(value: Column, low: Column, high: Column) -> Column:
     """The slice of [low, high] that a value lies in; 0 where the range has no finite width."""
     low, width = low.cast("double"), high.cast("double") - low.cast("double")
-    part = F.floor((value.cast("double") - low) / width * float(_SLICES))
-    return F.when((width > 0) & (width < float("inf")), part).otherwise(F.lit(0)).cast("bigint")
+    finite = F.when((width > 0) & (width < float("inf")), width)
+    part = F.floor((value.cast("double") - low) / finite * float(_SLICES))
+    return F.coalesce(part, F.lit(0)).cast("bigint")
 
 
 def _positions(probs: Sequence[float]) -> list[tuple[Column, Column, Column]]:

@@ -5,7 +5,7 @@
     clean = clean_sources(sources)
     stored = store(spark, clean, folder)        # optional, but reports then read parquet by year
     views = reports(stored)
-    export_all(views, out_folder, orders=ORDERS)
+    export_all(views, out_folder, orders=orders())
     export_all(samples(stored), out_folder)
 """
 
@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import activity, cleaning, combined, flows, ranking, regions, series, timing
@@ -97,25 +97,26 @@ def store(
     return stored
 
 
-# the order of each report, for display and for exports
-ORDERS = {
-    "permits_trend": ["issued_year", "permit_type"],
-    "trend_top_types": ["issued_year", "permit_type"],
-    "neighborhood_activity": [F.desc("total_permits"), "neighborhood"],
-    "change_of_use": [F.desc("flow_count"), "existing_use", "proposed_use"],
-    "sankey_nodes": ["node_id"],
-    "sankey_links": [F.desc("value"), "source_id", "target_id"],
-    "housing_types": [F.desc("parcel_count"), "restype"],
-    "hpi_clean": ["observation_date"],
-    "hpi_series": ["observation_date"],
-    "neighborhood_income_vs_wait": [F.desc("avg_wait_days"), "neighborhood"],
-    "processing_stats": [F.desc("avg_days"), "permit_type"],
-    "processing_time_box": ["permit_type"],
-    "neighborhood_ranked": [F.desc("issued_year"), "rank_in_year", "neighborhood"],
-    "permits_vs_hpi": ["year"],
-    "county_stats": ["county"],
-    "county_markers": ["county"],
-}
+def orders() -> dict[str, list[str | Column]]:
+    """The order of each report, for display and for exports."""
+    return {
+        "permits_trend": ["issued_year", "permit_type"],
+        "trend_top_types": ["issued_year", "permit_type"],
+        "neighborhood_activity": [F.desc("total_permits"), "neighborhood"],
+        "change_of_use": [F.desc("flow_count"), "existing_use", "proposed_use"],
+        "sankey_nodes": ["node_id"],
+        "sankey_links": [F.desc("value"), "source_id", "target_id"],
+        "housing_types": [F.desc("parcel_count"), "restype"],
+        "hpi_clean": ["observation_date"],
+        "hpi_series": ["observation_date"],
+        "neighborhood_income_vs_wait": [F.desc("avg_wait_days"), "neighborhood"],
+        "processing_stats": [F.desc("avg_days"), "permit_type"],
+        "processing_time_box": ["permit_type"],
+        "neighborhood_ranked": [F.desc("issued_year"), "rank_in_year", "neighborhood"],
+        "permits_vs_hpi": ["year"],
+        "county_stats": ["county"],
+        "county_markers": ["county"],
+    }
 
 
 def reports(clean: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -149,7 +150,8 @@ def reports(clean: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         "processing_stats": timing.processing_stats(timely),
         "neighborhood_ranked": activity.places_ranked(timely),
     }
-    return {name: df.orderBy(*ORDERS[name]) if name in ORDERS else df for name, df in views.items()}
+    order = orders()
+    return {name: df.orderBy(*order[name]) if name in order else df for name, df in views.items()}
 
 
 def samples(clean: Mapping[str, DataFrame], n: int = SAMPLE_ROWS) -> dict[str, DataFrame]:

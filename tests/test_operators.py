@@ -141,9 +141,7 @@ VALUE_SETS = {
 
 
 @pytest.mark.parametrize("kind", VALUE_SETS)
-@pytest.mark.parametrize("few", [True, False])
-def test_quantiles_equal_sorting(spark, kind, few, monkeypatch):
-    monkeypatch.setattr(quantiles, "has_at_most", lambda *a, **k: few)
+def test_quantiles_equal_sorting(spark, kind):
     rng = random.Random(kind)
     groups = {"a": 1, "b": 2, "c": 7, None: 400}
     data = [(g, VALUE_SETS[kind](rng)) for g, n in groups.items() for _ in range(n)]
@@ -167,9 +165,37 @@ def test_quantiles_without_keys_and_of_integers(spark):
     assert rows(quantiles.exact_quantiles(df.filter("false"), "id", [0.5])) == [(None,)]
 
 
-def test_has_at_most(spark):
-    df = spark.range(100).selectExpr("id % 7 AS g")
-    assert quantiles.has_at_most(df, ["g"], 7) and not quantiles.has_at_most(df, ["g"], 6)
+def test_nothing_runs_while_quantiles_are_built(spark):
+    seen = []
+    group = "quantiles-built"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        df = spark.range(1000).select((F.col("id") % 3).alias("g"), F.col("id").alias("v"))
+        quantiles.exact_quantiles(df, "v", [0.5], ["g"])
+        timing.box_summary(df, "v", "g")
+        regions.county_stats(df.select(*[F.col("v").alias(c) for c in (
+            "county", "median_rent", "median_income", "pop_total", "tract")]))
+        seen = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert list(seen) == []
+
+
+def test_close_values_end_in_small_bins(spark):
+    """Values that share their leading digits are told apart by the further rounds."""
+    df = spark.range(200_000).select(F.lit("a").alias("_g"), (F.lit(1.6e15) + F.col("id") * 7).alias("_v"),
+                                     F.lit(1).cast("bigint").alias("_n"))
+    spots = quantiles._positions([0.25, 0.5, 0.9])
+    near, path = quantiles._narrowed(df, ["_g"], spots)
+    assert max(r["count"] for r in near.groupBy(*path).count().collect()) <= 4
+    got = quantiles.quantiles_of_counts(df, "_v", "_n", [0.25, 0.5, 0.9], ["_g"]).collect()[0]
+    assert list(got)[1:] == [1.6e15 + 7 * q * 199_999 for q in (0.25, 0.5, 0.9)]
+
+
+def test_extreme_values(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(-inf,), (-1e308,), (0.0,), (5e-324,), (1e308,), (inf,), (inf,)], "v double")
+    assert rows(quantiles.exact_quantiles(df, "v", [0.0, 0.5, 1.0])) == [(-inf, 5e-324, inf)]
 
 
 def test_medians_of_several_columns(spark):
@@ -261,6 +287,26 @@ def test_sankey_nodes_are_shared(spark):
     assert rows(flows.sankey_nodes(edges, 1), "node_id") == [(0, "b"), (1, "c")]
 
 
+def test_all_edges_are_numbered(spark):
+    rng = random.Random(3)
+    pairs = {(f"s{rng.randint(0, 30)}", f"t{rng.randint(0, 30)}") for _ in range(300)}
+    edges = [(s, t, rng.randint(1, 5)) for s, t in sorted(pairs)]
+    df = spark.createDataFrame(edges, "existing_use string, proposed_use string, flow_count long")
+    ordered = sorted(edges, key=lambda e: (-e[2], e[0], e[1]))
+    labels = list(dict.fromkeys([e[0] for e in ordered] + [e[1] for e in ordered]))
+    assert rows(flows.sankey_nodes(df), "node_id") == list(enumerate(labels))
+    at = {x: i for i, x in enumerate(labels)}
+    assert Counter(rows(flows.sankey_links(df))) == Counter((at[s], at[t], n) for s, t, n in edges)
+
+
+def test_stats_of_free_values(spark):
+    rng = random.Random(9)
+    data = [(rng.choice(["a", "b", None]), rng.choice([None, rng.random() * 100])) for _ in range(500)]
+    df = spark.createDataFrame(data + [("c", None)], "permit_type string, processing_days double")
+    assert rows(timing.processing_stats(df, whole_days=False).orderBy("permit_type")) == rows(
+        timing.processing_stats(df).orderBy("permit_type"))
+
+
 # ---- two tables ----
 
 @pytest.mark.parametrize("keep", [False, True])

@@ -64,6 +64,16 @@ def test_each_table_is_read_once(plans, name, scans):
     assert plans(name).count("FileScan") == scans
 
 
+def test_each_date_is_parsed_once(plans):
+    text = plans("permits_clean")
+    assert text.count("regexp_replace(") == 3  # three dates, nothing of them in a filter
+    assert not re.search(r"DataFilters: \[[^\]]*regexp_replace", text)
+
+
+def test_markers_read_the_tracts_once(plans):
+    assert plans("county_markers").count("FileScan") == 1
+
+
 def test_total_of_shares_reuses_the_counts(plans):
     final = plans("top_share").split("== Initial Plan ==")[0]
     assert "Subquery" in final and "ReusedExchange" in final and "FileScan" not in final
@@ -75,7 +85,7 @@ def test_top_k_is_no_full_sort(plans, name):
 
 
 # the bindings of these pack raw rows, at most 400 at a time, into responses
-PACKED = {"census_landing", "appended_responses"}
+PACKED = {"census_landing", "appended_responses", "census_landed"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - PACKED))

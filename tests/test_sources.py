@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from burgage.schemas import BUILDING_PERMITS, CENSUS_ACS, LAND_USE, layout
 from burgage.sources import (decode_json_table, export_all, export_csv, list_landed, read_csv,
-                             read_csv_inferred, read_json_tables, register_view, type_columns,
+                             read_csv_inferred, read_json_tables, register_view, rejected_responses,
+                             type_columns,
                              write_table)
 
 SHAPE = layout("id:long name cost:money rate:double")
@@ -103,19 +104,32 @@ def test_exports_round_trip(spark, tmp_path):
     assert len(list((tmp_path / "one").glob("*.csv"))) == 1
     back = read_csv(spark, paths["one"], layout("id s t"), multiline=True)
     assert sorted(back.collect()) == [("1", ' "a", b ', "x\ny"), ("2", None, None)]
-    with pytest.raises(ValueError):
-        export_csv(spark.range(11), str(tmp_path / "big"), single_file=True, max_single_rows=10)
 
 
-def test_single_file_keeps_order(spark, tmp_path):
-    df = spark.range(0, 5000, numPartitions=7).orderBy(F.desc("id")).select("id", F.lit("x").alias("x"))
-    export_csv(df, str(tmp_path / "o"), single_file=True)
+def test_single_file_has_every_row(spark, tmp_path):
+    export_csv(spark.range(1_200_000), str(tmp_path / "big"), single_file=True)
+    (file,) = (tmp_path / "big").glob("*.csv")
+    with open(file) as f:
+        assert sum(1 for _ in f) == 1_200_001
+
+
+def test_single_file_in_order(spark, tmp_path):
+    df = spark.range(0, 5000, numPartitions=7).select("id", F.lit("x").alias("x"))
+    export_csv(df, str(tmp_path / "o"), single_file=True, order_by=[F.desc("id")])
     (file,) = (tmp_path / "o").glob("*.csv")
     lines = file.read_text().splitlines()
     assert lines[0] == "id,x" and lines[1:] == [f"{i},x" for i in range(4999, -1, -1)]
     export_csv(df.filter("id < 0"), str(tmp_path / "none"), single_file=True)
 
 
+def test_responses_that_are_no_table(spark, tmp_path):
+    for name, text in {"a": '[["x"],["1"]]', "b": "not json", "d": "[]", "e": '[["x"]]'}.items():
+        write(tmp_path / f"{name}.json", text)
+    landed = read_json_tables(spark, str(tmp_path))
+    assert [r.x for r in decode_json_table(landed, ["x"]).collect()] == ["1"]
+    assert sorted(r.path[-6] for r in rejected_responses(landed).collect()) == ["b", "d"]
+
+
 def test_view(spark):
     register_view(spark.range(4), "four")
     assert spark.sql("SELECT count(*) AS n FROM four").collect()[0].n == 4
