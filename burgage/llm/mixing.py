@@ -26,6 +26,7 @@ BLOCKS = 1_024      # per source
 SEED = 17
 TOKEN = r"[^\x20\x09-\x0D]+"
 
+ROUNDING = 1e-9     # relative
 STEPS, PASSES = 5, 8  # bisection steps per pass over the sources, and passes: 40 bits
 
 
@@ -118,7 +119,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     a = exponent(sources, total, entropy, max_passes, budget)
     power = F.pow(F.col("tokens") / F.lit(float(total)), F.lit(a))
     z = sources.agg(F.sum(power)).first()[0]
-    share = F.floor(power / F.lit(z) * F.lit(budget * total)).cast("long")
+    # A budget that is a whole number of passes must not lose a token to rounding.
+    share = F.floor(power / F.lit(z) * F.lit(budget * total * (1 + ROUNDING))).cast("long")
     plan = sources.select("source", F.floor(share / F.col("tokens")).cast("int").alias("full"),
                           (share % F.col("tokens")).alias("rest"))
     order = Window.partitionBy("source").orderBy(_block_key(F.col("full"), seed), "block")

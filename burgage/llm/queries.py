@@ -224,7 +224,8 @@ a AS (
     FROM step, l WHERE i = 40),
 share AS (
     SELECT s, t, CAST(floor(pow(t / total, a) / list_sum(list_transform(p, lambda x: pow(x, a)))
-                            * {mixing.BUDGET} * total) AS BIGINT) AS n FROM sources, a),
+                            * {mixing.BUDGET} * total * (1 + {mixing.ROUNDING})) AS BIGINT) AS n
+    FROM sources, a),
 plan AS (SELECT s, CAST(n // t AS INTEGER) AS full_, n % t AS rest FROM share),
 upto AS (
     SELECT s, b, full_, rest, t, sum(t) OVER (
