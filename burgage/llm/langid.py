@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .words import text_chunks
+
 BUCKETS = 1 << 16   # hashed n-grams; the matrix has so many columns
 ORDERS = (1, 2, 3)  # lengths of the n-grams
 SMOOTHING = 0.5     # added to each count
@@ -83,9 +85,9 @@ def train(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str
             langs = b.column(0).dictionary_encode()
             names, code = langs.dictionary.to_pylist(), langs.indices.to_numpy()
             texts = b.column(1).to_pylist()
-            for at in range(0, len(texts), 512):
-                who, what, has = grams(texts[at:at + 512], letters, buckets)
-                here = code[at:at + 512]
+            for at, stop in text_chunks(texts):
+                who, what, has = grams(texts[at:stop], letters, buckets)
+                here = code[at:stop]
                 cells = np.bincount(here[who] * buckets + what, minlength=len(names) * buckets)
                 seen = np.bincount(here[has], minlength=len(names))
                 for i, name in enumerate(names):
@@ -148,8 +150,8 @@ def predict(docs: DataFrame, model: dict | None, text_col: str = "text") -> Data
         for b in batches:
             texts = b.column(b.schema.get_field_index(text_col)).to_pylist()
             pred, score = [], []
-            for at in range(0, len(texts), 512):
-                p, has = posteriors(texts[at:at + 512], m, letters)
+            for at, stop in text_chunks(texts):
+                p, has = posteriors(texts[at:stop], m, letters)
                 pred += np.where(has, langs[p.argmax(1)], "und").tolist()
                 score += np.where(has, p.max(1), 0.0).tolist()
             yield pa.RecordBatch.from_arrays(

@@ -190,6 +190,15 @@ def test_passages_equal_brute_force(frame):
     assert both >= 0.98 * either
 
 
+def test_passages_that_lie_apart_in_the_other_text():
+    """Half of a stretch lies far off: neither half is a passage, and nothing breaks."""
+    a = np.arange(90, dtype=np.int32)
+    gap = np.arange(1000, 1500, dtype=np.int32)
+    assert passages.near_passages(a, np.concatenate([a[:45], gap, a[45:]])) == []
+    assert passages.near_passages(a, np.concatenate([a[45:], gap, a[:45]])) == []
+    assert passages.near_passages(a, np.concatenate([a[:40], gap, a[40:]])) == [(40, 90, 540, 590)]
+
+
 def test_compact_windows_hold_their_lowest():
     rng = np.random.default_rng(6)
     for values in (rng.integers(0, 1 << 60, 400).astype(np.uint64), np.zeros(5000, np.uint64)):
