@@ -66,7 +66,7 @@ def test_each_table_is_read_once(plans, name, scans):
 
 def test_each_date_is_parsed_once(plans):
     text = plans("permits_clean")
-    assert text.count("regexp_replace(") == 3  # three dates, nothing of them in a filter
+    assert text.count("regexp_replace(") == 4  # three dates and the capitalised type
     assert not re.search(r"DataFilters: \[[^\]]*regexp_replace", text)
 
 
