@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 # significant digits that make up a bin
 _DIGITS = 5
 
-# further rounds, and the slices that each cuts a bin's range into
-_ROUNDS = 2
+# further rounds, and the slices that each cuts a bin's range into: 65,536 of each of 90,000 bins
+_ROUNDS = 1
 _SLICES = 65_536
 
 

@@ -125,7 +125,7 @@ def reports(clean: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     timely = permits.filter(F.col("processing_days").between(*DAYS_RANGE))
     trend = activity.trend(permits)
     changes = flows.change_of_use(permits)
-    by_county, bounds = regions.county_stats_and_bounds(census)
+    by_county = regions.county_stats(census)
     views = {
         "quality_summary": activity.quality_summary(permits),
         "permits_trend": trend,
@@ -145,7 +145,7 @@ def reports(clean: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         "permits_vs_hpi": combined.permits_vs_index(trend, clean["hpi_clean"]),
         "census_clean": census,
         "county_stats": by_county,
-        "county_markers": regions.county_markers(by_county, bounds),
+        "county_markers": regions.county_markers(by_county, regions.colour_bounds(census)),
         "neighborhood_income_vs_wait": combined.income_vs_wait(permits, census),
         "processing_stats": timing.processing_stats(timely),
         "neighborhood_ranked": activity.places_ranked(timely),

@@ -186,5 +186,6 @@ def test_nothing_is_left_behind(tmp_path, named):
     more = f", spark__checkpoint__dir={shared!r}" if named else ""
     out = subprocess.run([sys.executable, "-c", CHILD.format(root=root, folder=folder, more=more)],
                          capture_output=True, text=True, timeout=120)
-    assert "made" in out.stdout and out.stdout.split()[-1] == "1", out.stderr[-2000:]
-    assert [f for f in os.listdir(shared) if "local-" in f and os.listdir(f"{shared}/{f}")] == []
+    assert "made" in out.stdout and int(out.stdout.split()[-1]) >= 1, out.stderr[-2000:]
+    left = os.listdir(shared) if os.path.isdir(shared) else []
+    assert [f for f in left if f.startswith("local-")] == []

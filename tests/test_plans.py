@@ -70,10 +70,6 @@ def test_each_date_is_parsed_once(plans):
     assert not re.search(r"DataFilters: \[[^\]]*regexp_replace", text)
 
 
-def test_markers_read_the_tracts_once(plans):
-    assert plans("county_markers").count("FileScan") == 1
-
-
 def test_total_of_shares_reuses_the_counts(plans):
     final = plans("top_share").split("== Initial Plan ==")[0]
     assert "Subquery" in final and "ReusedExchange" in final and "FileScan" not in final
