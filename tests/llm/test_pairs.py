@@ -190,6 +190,23 @@ def test_passages_equal_brute_force(frame):
     assert both >= 0.98 * either
 
 
+def test_passages_of_texts_in_different_tasks(spark):
+    """A frequent block of 40 words; in each task two texts have it, one of them with 20 words more."""
+    rng = random.Random(8)
+    rest = lambda n: [f"q{rng.randint(0, 10**9)}" for _ in range(n)]
+    tasks = [], []
+    for i in range(16):
+        block, more = rest(40), rest(20)
+        for j, task in enumerate(tasks):
+            task.append((4 * i + 2 * j, " ".join(rest(80) + block + rest(80)), "x"))
+            task.append((4 * i + 2 * j + 1, " ".join(rest(80) + block + more + rest(80)), "x"))
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(tasks[0] + tasks[1], 2), DOCS)
+    got = {r.doc_id: r for r in passages.repeated_passages(docs).collect()}
+    assert {i: r.spans for i, r in got.items()} == {i: "80:140" if i % 2 else "" for i in range(64)}
+    assert {i: r.class_id for i, r in got.items()} == {
+        i: i - 2 if i % 4 == 3 else i for i in range(64)}
+
+
 def test_passages_that_lie_apart_in_the_other_text():
     """Half of a stretch lies far off: neither half is a passage, and nothing breaks."""
     a = np.arange(90, dtype=np.int32)
