@@ -207,6 +207,48 @@ def test_passages_of_texts_in_different_tasks(spark):
         i: i - 2 if i % 4 == 3 else i for i in range(64)}
 
 
+def test_passages_behind_many_texts_with_the_same_block(frame):
+    """A block of 40 words in 60 texts; ten pairs of them share 20 words more, ten are copied whole."""
+    rng = random.Random(9)
+    rest = lambda n: [f"q{rng.randint(0, 10**9)}" for _ in range(n)]
+    block, copied, texts = rest(40), rest(120), []
+    for i in range(10):
+        more = rest(20)
+        texts += [rest(80) + block + more + rest(80) for _ in range(2)]
+    texts += [rest(80) + block + rest(80) for _ in range(40)]
+    texts += [rest(i) + copied + rest(80) for i in range(10)]
+    rows = [(i, " ".join(t), "x") for i, t in enumerate(texts)]
+    got = {r.doc_id: r for r in passages.repeated_passages(frame(rows, DOCS)).collect()}
+    assert {i: r.spans for i, r in got.items()} == {
+        i: "80:140" if i < 20 else f"{i - 60}:{i + 60}" if i >= 60 else "" for i in range(70)}
+    assert {i: r.class_id for i, r in got.items()} == {
+        i: i - i % 2 if i < 20 else min(i, 60) for i in range(70)}
+
+
+def test_links_stand_for_all_pairs():
+    """Random windows of one value: texts with equal windows hang together, all others are paired."""
+    rng = np.random.default_rng(10)
+    n = 300
+    w = np.zeros((n, 7), np.int64)
+    w[:, 1] = rng.integers(0, 120, n)
+    w[:, 2:5] = rng.integers(0, 500, n)[:, None] + np.array([0, 30, 60])
+    w[:, 6] = rng.integers(0, 200, n)
+    w[:, 0] = w[:, 6] % 3
+    w = w[np.argsort(w[:, 0])]
+    links = {(*r[[1, 3, 6, 8]],) for x in passages._linked(w) for r in x}
+    links |= {(c, d, a, b) for a, b, c, d in links}
+    w = passages._sorted(w)
+    texts = defaultdict(set)
+    for r in w:
+        texts[r[6]].add(r[1])
+    for r in w:
+        if len(texts[r[6]]) > 1:  # whole window covered by one of another text
+            assert any((r[1], r[3], q[1], q[3]) in links for q in w if q[6] == r[6])
+        for q in w:
+            if q[0] == r[0] and q[1] != r[1] and len(texts[q[6]]) == len(texts[r[6]]) == 1 and q[6] != r[6]:
+                assert (r[1], r[3], q[1], q[3]) in links
+
+
 def test_passages_that_lie_apart_in_the_other_text():
     """Half of a stretch lies far off: neither half is a passage, and nothing breaks."""
     a = np.arange(90, dtype=np.int32)
