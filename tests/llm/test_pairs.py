@@ -258,6 +258,51 @@ def test_passages_that_lie_apart_in_the_other_text():
     assert passages.near_passages(a, np.concatenate([a[:40], gap, a[40:]])) == [(40, 90, 540, 590)]
 
 
+@pytest.mark.parametrize("n, more", [(66, 6), (76, 7), (81, 8)])
+def test_passages_whichever_side_is_longer(n, more):
+    a = np.arange(n, dtype=np.int32)
+    cut = n // 2  # words put in break four shingles and make as many and their own
+    b = np.concatenate([a[:cut - 2], np.arange(1000, 1004 + more, dtype=np.int32), a[cut + 2:]])
+    assert passages.near_passages(a, b) == [(0, n, 0, len(b))]
+    assert passages.near_passages(b, a) == [(0, len(b), 0, n)]
+    twice = np.concatenate([b, a[:1]])  # a shingle that repeats
+    assert (0, n, 0, len(b)) in passages.near_passages(a, twice)
+    assert (0, len(b), 0, n) in passages.near_passages(twice, a)
+
+
+def test_passages_equal_all_pairs_of_stretches():
+    """Every two stretches between shared shingles, by a running count over the table of matches."""
+    rng = np.random.default_rng(11)
+    found = 0
+    for _ in range(60):
+        a = np.arange(rng.integers(60, 90), dtype=np.int32)
+        b, new = [], 1000
+        for x in a.tolist():
+            if rng.random() < 0.07:
+                k = int(rng.integers(1, 8))
+                b += range(new, new + k)
+                new += k
+            if rng.random() > 0.05:
+                b.append(x)
+        b = np.array(b, np.int32)
+        table = np.zeros((len(a) + 1, len(b) + 1), int)
+        table[1:, 1:] = (a[:, None] == b).cumsum(0).cumsum(1)
+        place = {x: k for k, x in enumerate(b.tolist())}
+        both = [(i, place[i]) for i in range(len(a)) if i in place]
+        want = set()
+        for s, s2 in both:
+            for e, e2 in both:
+                if e - s + 1 >= passages.LEAST and e2 - s2 + 1 >= passages.LEAST:
+                    m = table[e + 1, e2 + 1] - table[s, e2 + 1] - table[e + 1, s2] + table[s, s2]
+                    if m >= 0.8 * (e - s + e2 - s2 + 2 - m):
+                        want |= {*range(s, e + 1)}
+        for got in ([x[:2] for x in passages.near_passages(a, b)],
+                    [x[2:] for x in passages.near_passages(b, a)]):
+            assert {k for s, e in got for k in range(s, e)} == want
+        found += bool(want)
+    assert 10 < found < 60
+
+
 def test_compact_windows_hold_their_lowest():
     rng = np.random.default_rng(6)
     for values in (rng.integers(0, 1 << 60, 400).astype(np.uint64), np.zeros(5000, np.uint64)):
