@@ -83,8 +83,11 @@ def _parts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return none.union(found)
 
 
-def _linked(parts: DataFrame, reach: int) -> DataFrame:
-    """The weak parts that lie within `reach` of a part that completes them."""
+def _linked(parts: DataFrame, reach: int, apart: bool = False) -> DataFrame:
+    """The weak parts that lie within `reach` of a part that completes them.
+
+    With `apart`, parts that overlap do not complete each other.
+    """
     role = F.element_at(F.array(*(F.lit(ROLES[k]) for k in KINDS)), F.col("kind") + 1)
     p = parts.where("kind is not null").withColumn("role", role)
     weak = p.where(F.col("kind") >= len(BASE)).withColumn(
@@ -102,24 +105,27 @@ def _linked(parts: DataFrame, reach: int) -> DataFrame:
             & (F.col("role") != F.col("role2"))
             & ((F.col("role") == "secret") | (F.col("role2") == "secret"))
             & (F.col("start2") <= F.col("stop") + reach) & (F.col("start") <= F.col("stop2") + reach))
+    if apart:
+        near = near & ((F.col("stop2") <= F.col("start")) | (F.col("stop") <= F.col("start2")))
     return (wide.join(offered, near, "left_semi")
             .select("row", "doc", "kind", "start", "stop").distinct())
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         reach: int = REACH) -> DataFrame:
+         reach: int = REACH, apart: bool = False) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans) for each row of `docs`.
 
     A null text counts as empty; rows without spans have zero counts, the hash of an empty text
     and empty spans. Rows with a null or repeated id stay apart. Spans are kind:start:end by
-    start, then kind, weak kinds after the base ones. Other columns are not looked at.
+    start, then kind, weak kinds after the base ones. Other columns are not looked at. With `apart`,
+    a weak part is kept only beside one that it does not overlap.
 
     Texts never move: tasks find the matches, and only positions are shuffled. Spans of one text
     come together, which its length bounds.
     """
     parts = written(_parts(docs, id_col, text_col), "parts")
     certain = parts.where(F.col("kind").isNull() | (F.col("kind") < len(BASE)))
-    both = certain.union(_linked(parts, reach))
+    both = certain.union(_linked(parts, reach, apart))
     span = F.when(F.col("kind").isNotNull(), F.struct("start", "kind", "stop"))
     name = F.array(*map(F.lit, KINDS))
 
@@ -139,10 +145,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def without_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents in which `scan` finds nothing.
+    """The documents in which `scan` finds nothing, parts that overlap left apart.
+
+    The path of an ordinary address is a mixed token inside an endpoint, and no credential.
 
     Those with certain spans go by a filter on the text; those with linked weak spans alone go by
     their id, so such a document stays if its id is null.
     """
-    found = scan(docs, id_col, text_col).where("spans <> ''").select(id_col).distinct()
+    found = scan(docs, id_col, text_col, apart=True).where("spans <> ''").select(id_col).distinct()
     return docs.where(~has_certain(F.col(text_col))).join(found, id_col, "left_anti").select(docs.columns)

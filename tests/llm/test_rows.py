@@ -201,6 +201,15 @@ def test_linking_equals_all_pairs(frame):
         assert got[i] == ",".join(f"{k}:{s}:{e}" for s, _, e, k in sorted(kept))
 
 
+def test_documents_with_plain_addresses_stay(frame):
+    url = "https://example.com/Reports/Annual-Review-2023-Final-Version"
+    token = "Zx9" + "aB3-" * 8
+    rows = [(0, f"see {url} for more"), (1, "s3://bucket/Data/2024/Some-Long-Name-Of-A-File_v2"), (2, f"https://db.example.com/ {token}"),
+            (3, f"login: {token}"), (4, f"login: somebody, {token}")]
+    got = secret_scan.without_secrets(frame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in got.collect()) == [0, 1, 3]
+
+
 def test_documents_without_secrets_stay(frame):
     rows = [(1, "clean", "x"), (2, "token=abcdefgh", "x"), (3, "account=carl " + "Ab1" * 12, "x"), (4, None, "x"),
             (None, "clean", "x"), (None, "token=abcdefgh", "x"), (1, "clean", "x")]
