@@ -4,8 +4,8 @@ Every document is covered by windows of about an item's size, each with a 64-bit
 five-word shingles. A window's fingerprint is cut into four blocks of 16 bits. Fingerprints within
 RADIUS bits of an item's differ in at most a quarter of them in some block, so each block has an
 index of all its values that near to an item's: whatever is within the radius is found. Candidates
-are then measured by the weighted Jaccard similarity of shingle counts, at every place of the item
-around the window.
+are then measured by the weighted Jaccard similarity of shingle counts, at every place and length of
+a passage around the window.
 
 Windows start at every `step`-th shingle and are short enough that one lies wholly inside any
 passage with four fifths of an item's shingles; items are fingerprinted at the offsets at which
@@ -120,21 +120,30 @@ class Items:
     def best_place(self, hashes: np.ndarray, number: int, at: int) -> tuple[float, int, int]:
         """(similarity, start, shingles) of the stretch near `at` most like the item.
 
-        Stretches have the item's length and start within a fifth of it from `at`; at an end of
-        the text they are cut off.
+        Stretches start within about a quarter of the item's length from `at`, which is as much as
+        a passage can have put in, and have any length that can reach SIMILARITY. Of equally good
+        ones the nearest start counts.
         """
         n, counts = len(self.hashes[number]), self.counts[number]
-        slack = n // 5
+        slack, least, most = n // 4 + 4, int(SIMILARITY * n), int(n / SIMILARITY) + 1
+        low, high = max(0, at - slack), min(len(hashes), at + slack + most)
+        part = hashes[low:high].tolist()
         best = (0.0, 0, 0)
-        for start in sorted(range(at - slack, at + slack + 1), key=lambda s: (abs(s - at), s)):
-            part = hashes[max(0, start):max(0, start + n)]
-            if not len(part):
-                continue
-            shared = sum(min(c, counts.get(h, 0)) for h, c in Counter(part.tolist()).items())
-            value = shared / (len(part) + n - shared)
-            if value > best[0]:
-                best = (value, max(0, start), len(part))
-            if value == 1.0:
+        if sum(min(c, counts.get(h, 0)) for h, c in Counter(part).items()) < least:
+            return best
+        starts = range(low, min(at + slack, len(hashes) - 1) + 1)
+        for start in sorted(starts, key=lambda s: (abs(s - at), s)):
+            shared, seen = 0, {}
+            for size, h in enumerate(part[start - low:start - low + most], 1):
+                have = counts.get(h, 0)
+                if have:
+                    seen[h] = seen.get(h, 0) + 1
+                    shared += seen[h] <= have
+                if size >= least:
+                    value = shared / (size + n - shared)
+                    if value > best[0]:
+                        best = (value, start, size)
+            if best[0] == 1.0:
                 break
         return best
 

@@ -349,6 +349,22 @@ def test_items_in_documents(frame, words):
     assert [round(r.similarity, 9) for r in got if r.doc_id == 1] == [round(best, 9)]
 
 
+def test_shortened_and_widened_items_inside_documents(frame, words):
+    """A part of an item, or an item with words put in, counts whatever stands around it."""
+    items = [(n, " ".join(words(1000 * n, n))) for n in (30, 60, 100)]
+    docs = []
+    for n, k in ((30, 27), (60, 52), (100, 86)):
+        docs.append((n, words(800_000, 80) + words(1000 * n, k) + words(900_000, 80), k))
+        docs.append((n, words(800_000, 80) + words(1000 * n + n - k, k) + words(900_000, 80), k))
+    for n, k in ((60, 5), (100, 9)):
+        mine = words(1000 * n, n)
+        docs.append((n, words(800_000, 80) + mine[:n // 2] + words(700_000, k) + mine[n // 2:] + words(900_000, 80), n + k))
+    rows = [(i, " ".join(t), "x") for i, (_, t, _) in enumerate(docs)]
+    got = decontamination.contaminated(frame(rows, DOCS), frame(items, "item_id long, text string")).collect()
+    assert {r.doc_id: (r.item_id, r.first_word, r.n_words) for r in got} == {
+        i: (n, 80, size) for i, (n, _, size) in enumerate(docs)}
+
+
 def test_many_items_take_more_passes(frame, words, monkeypatch):
     monkeypatch.setattr(decontamination, "ITEMS_PER_PASS", 4)
     items = [(i, " ".join(words(i * 100, 20 + i))) for i in range(20)]
