@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    decontamination, langid, mixing, nearest, passages, quality, secret_scan, simhash, urls, warc,
+    collocations, decontamination, hardneg, langid, mixing, nearest, passages, quality, secret_scan,
+    sharding, simhash, urls, warc,
 )
 from .runs import crc_mod
 
@@ -253,3 +254,75 @@ FROM (SELECT *, CAST(unnest(range(n)) AS INTEGER) AS pass FROM times)
 @query
 def op5_passages(spark, sf_dir):
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_hard_negatives(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", F.when(
+        F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hardneg.mine(rows, rows.where("vec_id % 100 = 0"))
+
+
+ORACLE_SQL["op12_hard_negatives"] = """
+WITH e AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS own,
+           CAST(list_dot_product(a.v, c.v) AS BIGINT) AS score
+    FROM e a JOIN e c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v) WHERE a.vec_id % 100 = 0),
+p AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE own
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.vec_id AS negative_id,
+       positive_score, s.score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT s.own AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)
+QUALIFY row_number() OVER w <= 5
+"""
+
+
+@query
+def op13_sharding(spark, sf_dir):
+    return sharding.sharded(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_collocations(spark, sf_dir):
+    return collocations.mined(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op11_collocations"] = f"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), {_ABC}), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+grams AS (
+    {' UNION ALL '.join(f"SELECT lang, w[i:i + {k - 1}] AS p FROM starts WHERE i + {k - 1} <= len(w)"
+                        for k in range(1, 5))}),
+f AS (SELECT lang, p, CAST(count(*) AS BIGINT) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
+cuts AS (SELECT lang, p, f AS a, unnest(range(1, len(p))) AS k FROM f WHERE len(p) > 1),
+best AS (
+    SELECT c.lang, c.p, c.a, x.f AS l, y.f AS r,
+           CAST(2000000::HUGEINT * c.a // (x.f::HUGEINT + y.f) AS BIGINT) AS score
+    FROM cuts c JOIN f x ON x.lang = c.lang AND x.p = c.p[1:c.k]
+    JOIN f y ON y.lang = c.lang AND y.p = c.p[c.k + 1:]
+    QUALIFY row_number() OVER (PARTITION BY c.lang, c.p ORDER BY score, c.k) = 1),
+inner_ AS (
+    {' UNION ALL '.join(f"SELECT lang, p[{i}:{i + k - 1}] AS p, f FROM f WHERE len(p) > {k} AND {i + k - 1} <= len(p)"
+                        for k in (2, 3) for i in range(1, 6 - k))}),
+longer AS (SELECT lang, p, max(f) AS f FROM inner_ GROUP BY ALL),
+kept AS (
+    SELECT b.*, array_to_string(b.p, ' ') AS phrase FROM best b LEFT JOIN longer x USING (lang, p)
+    WHERE x.f IS NULL OR 100::HUGEINT * x.f < 80::HUGEINT * b.a)
+SELECT lang, CAST(row_number() OVER o AS INTEGER) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang)
+WINDOW o AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+QUALIFY row_number() OVER o <= 2000
+"""
