@@ -41,12 +41,13 @@ def trend_top_types(
 ) -> DataFrame:
     """The trend lines of the k categories with the largest totals.
 
-    `counts` has one row per category and year, so a category's line is as short as the range of
-    years and can travel with its total: no second look at the data is needed.
+    Counts are added up per category and year first, so a category's line is as short as the range
+    of years and can travel with its total: no second look at the data is needed.
     """
     line = F.collect_list(F.struct(year, amount))
     return (
         counts.filter(F.col(year).isNotNull() & F.col(category).isNotNull())
+        .groupBy(category, year).agg(F.sum(amount).alias(amount))
         .groupBy(category)
         .agg(F.coalesce(F.sum(amount), F.lit(0)).alias("_total"), line.alias("_line"))
         .orderBy(F.desc("_total"), F.asc(category)).limit(k)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import initcap_words
 from ..schemas import TOP_FLOWS
+from ..session import written
 
 
 def change_of_use(
@@ -42,21 +43,22 @@ def _largest(edges: DataFrame, k: int | None, source: str, target: str, amount:
 
 
 def _numbered(df: DataFrame, order: str) -> DataFrame:
-    """`df` with node_id from 0 in the order of the struct `order` (side, less, begin, end).
+    """`df` with node_id from 0 in the order of the column `order`.
 
-    Rows are counted by the leading parts of the order, the counts' running total gives each of
-    them its first number, and rows are numbered within. So no task sees all rows.
+    Rows are dealt to tasks by ranges of the whole order, whose cuts come from a sample, so no label
+    and no amount can crowd a task. Each row is numbered in its range, and a running total of
+    the ranges' sizes, a row per task, says where a range begins. The ranges are written once, at
+    once, so that sizes and numbers are of the same ones.
     """
-    lead = F.struct(f"{order}.side", f"{order}.less", F.substring(f"{order}.begin", 1, 2).alias("at"))
-    df = df.withColumn("_lead", lead)
-    counts = df.groupBy("_lead").agg(F.count("*").alias("_n"))
-    earlier = W.orderBy("_lead").rowsBetween(W.unboundedPreceding, -1)  # one row per leading part
-    counts = counts.select(F.col("_lead").alias("_same"),
-                           F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    within = F.row_number().over(W.partitionBy("_lead").orderBy(order))
-    return (df.join(counts, F.col("_lead").eqNullSafe(F.col("_same")))
-            .withColumn("node_id", (F.col("_before") + within - 1).cast("bigint"))
-            .drop("_lead", "_same", "_before"))
+    ranges = written(df.repartitionByRange(order).sortWithinPartitions(order)
+                     .withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    ranges = ranges.select("*", F.shiftright("_at", 33).alias("_range"),
+                           F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)).alias("_place"))
+    earlier = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    first = (ranges.groupBy("_range").agg(F.count("*").alias("_n"))
+             .select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_begin")))
+    return (ranges.join(first, "_range").withColumn("node_id", F.col("_begin") + F.col("_place"))
+            .drop("_at", "_range", "_place", "_begin"))
 
 
 def sankey_nodes(

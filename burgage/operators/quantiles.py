@@ -2,11 +2,11 @@
 
 Spark's `percentile` keeps every distinct value of a group in one task. That is fine where the
 values come from a bounded range, such as days between 0 and 1000. For free values this module
-narrows down in a fixed number of rounds: values are counted in bins, the bins that hold a wanted
-position are found from the counts, and their values are binned more finely. The first round bins
-by leading digits, which needs no look at the data; each further one cuts a kept bin's own range,
-from its least to its largest value, into even slices. So values that lie close together are told
-apart as well, and the last step, value by value, sees a small part of a bin. Only counts move.
+narrows down: every number has a 64-bit code that rises with it, values are counted by the leading
+bits of their codes, the bins that hold a wanted position are found from the counts, and their values
+are counted by more bits. The number of rounds is fixed, and so is the size of what a task can hold,
+however the values are spread: a bin falls into 2^20 parts at most, and the last step, value by
+value, sees 64 values of a bin. Only counts move.
 """
 
 from __future__ import annotations
@@ -18,12 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# significant digits that make up a bin
-_DIGITS = 5
-
-# further rounds, and the slices that each cuts a bin's range into: 65,536 of each of 90,000 bins
-_ROUNDS = 1
-_SLICES = 65_536
+# bits of a code that are left out in each round
+_ROUNDS = (46, 26, 6)
 
 
 def histogram(df: DataFrame, value: str, keys: Sequence[str] = (), n: str = "n") -> DataFrame:
@@ -34,25 +30,22 @@ def histogram(df: DataFrame, value: str, keys: Sequence[str] = (), n: str = "n")
     return df.filter(present).groupBy(*keys, value).agg(F.count("*").alias(n))
 
 
-def _bin(value: Column) -> Column:
-    """A bigint that never falls as the value rises, and is the same for equal leading digits."""
+def _code(value: Column) -> Column:
+    """A bigint that rises with the value as a double: its sign, exponent and 52 bits of fraction."""
     size = F.abs(value.cast("double"))
-    scale = 10 ** (_DIGITS - 1)
-    # 400 is beyond any double's exponent; it also stands in for the exponent of infinity
-    exponent = F.least(F.floor(F.log10(size)), F.lit(400))
-    # the smallest numbers have powers of ten below any double
-    lead = F.coalesce(F.floor(F.try_divide(size, F.pow(F.lit(10.0), exponent)) * float(scale)), F.lit(0))
-    # a lead may just reach 10 * scale through rounding, so an exponent spans more than that
-    code = (exponent + 400) * (20 * scale) + lead
-    return F.when(value == 0, F.lit(0)).when(value < 0, -code).otherwise(code).cast("bigint")
 
-
-def _slice(value: Column, low: Column, high: Column) -> Column:
-    """The slice of [low, high] that a value lies in; 0 where the range has no finite width."""
-    low, width = low.cast("double"), high.cast("double") - low.cast("double")
-    finite = F.when((width > 0) & (width < float("inf")), width)
-    part = F.floor((value.cast("double") - low) / finite * float(_SLICES))
-    return F.coalesce(part, F.lit(0)).cast("bigint")
+    def power(exponent: Column) -> Column:
+        return F.pow(F.lit(2.0), exponent.cast("double"))
+
+    near = F.greatest(F.floor(F.log2(size)), F.lit(-1023))  # may be one off through rounding
+    exponent = (near - F.when(power(near) > size, 1).otherwise(0)
+                + F.when(power(near + 1) <= size, 1).otherwise(0))
+    # The smallest numbers have no leading one; their scale is that of exponent -1022.
+    usual = (exponent + 1023) * (1 << 52) + F.floor((size / power(exponent) - 1) * float(1 << 52))
+    code = (F.when(size == float("inf"), F.lit(2047 << 52))
+            .when(size < 2.0 ** -1022, F.floor(size * 2.0 ** 1022 * float(1 << 52)))
+            .otherwise(usual))
+    return F.when(value == 0, F.lit(0)).when(value < 0, -code).otherwise(code).cast("bigint")
 
 
 def _positions(probs: Sequence[float]) -> list[tuple[Column, Column, Column]]:
@@ -77,26 +70,25 @@ def _narrowed(
     `_before` is the number of rows of the group before the bin, `_total` that of the group.
     """
     wanted = reduce(lambda a, b: a | b, [_holds(x) for s in spots for x in s[:2]])
-    path, code = list(group), _bin(F.col("_v"))
-    for depth in range(_ROUNDS + 1):
+    path = list(group)
+    counts = counts.withColumn("_code", _code(F.col("_v")))
+    for depth, left_out in enumerate(_ROUNDS):
         here = f"_bin{depth}"
-        binned = counts.withColumn(here, code)
+        binned = counts.withColumn(here, F.shiftright("_code", left_out))
         before = F.lit(0) if depth == 0 else F.max("_before")
         earlier = W.partitionBy(*path).orderBy(here).rowsBetween(W.unboundedPreceding, -1)
         bins = binned.groupBy(*path, here).agg(
-            F.sum("_n").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"),
-            before.alias("_start"), *([] if depth == 0 else [F.max("_total").alias("_total")]))
+            F.sum("_n").alias("_n"), before.alias("_start"), *([] if depth == 0 else [F.max("_total").alias("_total")]))
         if depth == 0:
             bins = bins.withColumn("_total", F.sum("_n").over(W.partitionBy(*path)))
         bins = bins.withColumn(
             "_before", F.col("_start") + F.coalesce(F.sum("_n").over(earlier), F.lit(0))
         ).filter(wanted)
         path = [*path, here]
-        kept = bins.select(*[F.col(c).alias("_r" + c) for c in path], "_low", "_high", "_before",
-                           "_total")
+        kept = bins.select(*[F.col(c).alias("_r" + c) for c in path], "_before", "_total")
         same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col("_r" + c)) for c in path])
-        counts = binned.select(*path, "_v", "_n").join(kept, same).drop(*["_r" + c for c in path])
-        code = _slice(F.col("_v"), F.col("_low"), F.col("_high"))
+        counts = binned.select(*path, "_v", "_n", "_code").join(kept, same) \
+            .drop(*["_r" + c for c in path])
     return counts, path
 
 

@@ -8,9 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import written
+
 # hex digits of the sample hash that are counted: 16**5 bins
 _HASH_DIGITS = 5
 
+# bins that categories are counted by before any is counted by itself
+_BINS = 1 << 16
+
 
 def top_categories(df: DataFrame, category: str, k: int, weight: str | None = None) -> DataFrame:
     """The k categories with the largest summed weight (or most rows), ties by name; NULL is none.
@@ -25,6 +30,30 @@ def top_categories(df: DataFrame, category: str, k: int, weight: str | None = No
     )
 
 
+def top_by_threshold(df: DataFrame, category: str, k: int, bins: int = _BINS) -> DataFrame:
+    """`top_categories` by rows, for categories so many that counting each would shuffle most rows.
+
+    Three passes over the one column. Categories are counted by bins of their hash, at most `bins` rows
+    from a task; no category has more rows than its bin. Those in the fullest bins are then counted
+    exactly, and the k-th of them is a lower bound: only bins that reach it can hold one of the k.
+    The last pass counts the categories of those. Bins, not categories, are broadcast, `bins` at most.
+    Runs the first two passes at once.
+    """
+    known = df.filter(F.col(category).isNotNull()).select(category)
+    binned = known.withColumn("_bin", F.pmod(F.xxhash64(category), F.lit(bins)))
+    sizes = written(binned.groupBy("_bin").agg(F.count("*").alias("_n")), "bins")
+
+    def counted(chosen: DataFrame) -> DataFrame:
+        rows = binned.join(F.broadcast(chosen.select("_bin")), "_bin", "left_semi")
+        return top_categories(rows, category, k)
+
+    first = counted(sizes.orderBy(F.desc("_n"), "_bin").limit(2 * k)).agg(
+        F.count("*").alias("found"), F.min("score").alias("least")).first()
+    if first["found"] < k:
+        return top_categories(known, category, k)
+    return counted(sizes.filter(F.col("_n") >= first["least"]))
+
+
 def keep_top_categories(
     df: DataFrame, category: str, k: int, weight: str | None = None
 ) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import label_for, number_or_null, thousands, zero_fill
 from ..schemas import (COUNTIES, MIN_RADIUS, PEOPLE_PER_RADIUS_UNIT, RENT_COLOUR_BOUNDS)
-from .quantiles import exact_quantiles, medians
+from ..session import written
+from .quantiles import exact_quantiles, histogram, quantiles_of_counts
 
 
 def find_column(df: DataFrame, keyword: str) -> str:
@@ -18,6 +20,50 @@ def find_column(df: DataFrame, keyword: str) -> str:
     raise KeyError(f"no column name contains {keyword!r}")
 
 
+def _figures(
+    tracts: DataFrame, county: str, rent: str, income: str, population: str, tract: str,
+    drop_missing_rent: bool, fill_code: bool,
+) -> DataFrame:
+    """Rows per (county, figure, value): all that the reports need, in one pass over the tracts."""
+    read = number_or_null if fill_code else F.col
+    code = zero_fill(county) if fill_code else F.col(county)
+    counted = F.when(F.col(county if fill_code else tract).isNotNull(), F.lit(1.0))
+    base = tracts.select(
+        code.alias("county"), read(rent).cast("double").alias("rent"),
+        read(income).cast("double").alias("income"),
+        read(population).cast("double").alias("people"), counted.alias("tract"))
+    if drop_missing_rent:
+        base = base.filter(F.col("rent").isNotNull())
+    long = base.select("county", F.inline(F.array(
+        F.struct(F.lit("row").alias("figure"), F.lit(1.0).alias("value")),
+        *[F.struct(F.lit(f).alias("figure"), F.col(f).alias("value"))
+          for f in ("rent", "income", "people", "tract")])))
+    return histogram(long, "value", ["county", "figure"], "n")
+
+
+def _stats(figures: DataFrame, whole: bool) -> DataFrame:
+    known = figures.filter(F.col("county").isNotNull())
+
+    def total(figure: str, amount: Column) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("figure") == figure, amount)), F.lit(0))
+
+    people = total("people", F.col("value") * F.col("n"))
+    totals = known.groupBy("county").agg(
+        (people.cast("bigint") if whole else people).alias("population"),
+        total("tract", F.col("n")).alias("tract_count"))
+    middle = quantiles_of_counts(known.filter(F.col("figure").isin("rent", "income")), "value", "n",
+                                 [0.5], ["county", "figure"], ["_median"])
+    medians = middle.groupBy("county").agg(*[
+        F.max(F.when(F.col("figure") == f, F.col("_median"))).alias(f"median_{f}")
+        for f in ("rent", "income")])
+    return totals.join(medians, "county", "left").select(
+        "county", "median_rent", "median_income", "population", "tract_count")
+
+
+def _is_whole(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, (T.LongType, T.IntegerType))
+
+
 def county_stats(
     tracts: DataFrame, *, county: str = "county", rent: str = "median_rent",
     income: str = "median_income", population: str = "pop_total", tract: str = "tract",
@@ -29,22 +75,24 @@ def county_stats(
     codes are zero-filled to three digits and the figures are read tolerantly, so text that is
     no number counts as missing; tracts are then counted by their county code.
     """
-    read = number_or_null if fill_code else F.col
-    code = zero_fill(county) if fill_code else F.col(county)
-    counted = county if fill_code else tract
-    base = tracts.select(
-        code.alias("county"), read(rent).alias("_rent"), read(income).alias("_income"),
-        read(population).alias("_people"), F.col(counted).alias("_tract"))
-    if drop_missing_rent:
-        base = base.filter(F.col("_rent").isNotNull())
-    base = base.filter(F.col("county").isNotNull())
-    totals = base.groupBy("county").agg(
-        F.coalesce(F.sum("_people"), F.lit(0)).alias("population"),
-        F.count("_tract").alias("tract_count"))
-    middle = medians(base, ["_rent", "_income"], ["county"])
-    return totals.join(middle, "county", "left").select(
-        "county", F.col("_rent").alias("median_rent"), F.col("_income").alias("median_income"),
-        "population", "tract_count")
+    return _stats(_figures(tracts, county, rent, income, population, tract, drop_missing_rent, fill_code),
+                  _is_whole(tracts, population))
+
+
+def county_stats_and_bounds(
+    tracts: DataFrame, low: float = 0.1, high: float = 0.9, *, county: str = "county",
+    rent: str = "median_rent", income: str = "median_income", population: str = "pop_total",
+    tract: str = "tract",
+) -> tuple[DataFrame, DataFrame]:
+    """`county_stats` without tracts that lack a rent, and `colour_bounds` over all counties.
+
+    The tracts are read once, at once: their counts by county, figure and value are written to the
+    shared folder, and totals, medians and bounds all come from there.
+    """
+    figures = written(_figures(tracts, county, rent, income, population, tract, True, False), "figures")
+    rents = figures.filter(F.col("figure") == "rent").groupBy("value").agg(F.sum("n").alias("n"))
+    return _stats(figures, _is_whole(tracts, population)), quantiles_of_counts(
+        rents, "value", "n", [low, high], names=["vmin", "vmax"])
 
 
 def colour_bounds(

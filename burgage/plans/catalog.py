@@ -7,16 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import (clean_header, initcap_words, label_for, number_or_null, quarter_label,
-                         thousands, zero_fill)
+from ..functions import (clean_header, days_between, initcap_words, label_for, number_or_null,
+                         quarter_label, thousands, zero_fill)
 from ..operators import activity, cleaning, combined, flows, quantiles, ranking, regions
 from ..operators import profile as profiles
-from ..operators import series, timing
+from ..operators import series, timing, views
+from ..operators.areas import points_in_areas
 from ..schemas import CENSUS_VARIABLES, COUNTIES, SAMPLE_ROWS, layout
-from ..session import kept, scratch_path
-from ..sources import (Typed, append_all, decode_json_table, export_all, export_csv, read_csv,
-                       read_csv_inferred, read_json_tables, register_view, rejected_responses,
-                       type_columns, write_table)
+from ..session import kept, scratch_path, written
+from ..sources import (Typed, append_all, decode_json_table, export_all, export_csv, latest, read_csv,
+                       read_csv_inferred, read_csv_split, read_json_tables, read_ledger, register_view,
+                       rejected_responses, settle, type_columns, upsert, write_table)
 from . import bindings as b
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -241,8 +242,7 @@ def colour_bounds(spark, sf):
 
 def county_markers(spark, sf):
     clean = cleaning.clean_census(b.census_raw(spark, sf))
-    return rounded(regions.county_markers(regions.county_stats(clean),
-                                          regions.colour_bounds(clean)))
+    return rounded(regions.county_markers(*regions.county_stats_and_bounds(clean)))
 
 
 def county_markers_fixed_range(spark, sf):
@@ -369,10 +369,10 @@ def view_trend(spark, sf):
 
 
 def kept_trend(spark, sf):
-    """Two reports from one table that is kept meanwhile."""
+    """Two reports from one table that is kept until both are written."""
     with kept(b.issued(spark, sf, YEARS)) as permits:
-        return activity.trend(permits, years=YEARS).withColumn(
-            "all_permits", F.lit(permits.count()))
+        trend = written(activity.trend(permits, years=YEARS), "kept-trend")
+        return trend.withColumn("all_permits", F.lit(permits.count()))
 
 
 def stored_once(spark, sf):
@@ -419,6 +419,178 @@ def label_texts(spark, sf):
         "number")
 
 
+# ---- large files, new batches, amended rows ----
+
+def csv_split_multiline(spark, sf):
+    """Texts with line breaks and quotes out to one CSV file, and back by ranges of it."""
+    path = scratch_path(spark, "documents-one-csv")
+    export_csv(b.table(spark, sf, "documents").select("doc_id", "lang", "text"), path, single_file=True)
+    shape = layout("doc_id:long lang text")
+    back = type_columns(read_csv_split(spark, path, shape, tokens=("",)), shape).good
+    return back.select("doc_id", "lang", F.length("text").cast("bigint").alias("text_length"),
+                       F.md5("text").alias("text_md5"))
+
+
+BATCHES = ((1900, 1993), (1994, 1996), (1997, 2100))
+
+
+def _folded(spark: SparkSession, sf: str, rows: Callable[..., DataFrame], name: str,
+            view: views.View) -> DataFrame:
+    """A view over batches by ship date, of which the second is delivered twice."""
+    path = scratch_path(spark, "states")
+    for i in (0, 1, 2, 1):
+        views.fold(rows(spark, sf, BATCHES[i]), {name: view}, path, f"ship-{i}")
+    return views.folded(spark, {name: view}, path)[name]
+
+
+def merged_trend(spark, sf):
+    return _folded(spark, sf, b.issued, "trend", views.trend(YEARS))
+
+
+def merged_activity(spark, sf):
+    return rounded(_folded(spark, sf, b.placed, "places", views.place_activity(20)))
+
+
+def merged_quality(spark, sf):
+    return rounded(_folded(spark, sf, b.placed, "quality", views.quality_summary()))
+
+
+def merged_stats(spark, sf):
+    return _folded(spark, sf, b.placed, "stats", views.processing_stats())
+
+
+def merged_quantiles(spark, sf):
+    """Exact quantiles over batches, of a measure that differs in most rows."""
+    view = views.value_quantiles("l_extendedprice", (0.1, 0.5, 0.9), ("l_returnflag",), ("p10", "p50", "p90"))
+    return rounded(_folded(spark, sf, b.lines, "prices", view))
+
+
+def report_pack(spark, sf):
+    """Five reports from one scan, below each other."""
+    rows = b.placed(spark, sf).withColumns({"existing_use": F.col("segment"),
+                                            "proposed_use": F.col("permit_type")})
+    found = views.reports(rows, {
+        "trend": views.trend(YEARS), "places": views.place_activity(20), "quality": views.quality_summary(),
+        "stats": views.processing_stats(), "uses": views.change_of_use(15)})
+    shapes = {"trend": ("issued_year", "permit_type", "permit_count", None),
+              "places": ("neighborhood", None, "total_permits", "avg_processing_days"),
+              "quality": (None, None, "total_rows", "avg_processing_days"),
+              "stats": ("permit_type", None, "count", "median_days"),
+              "uses": ("existing_use", "proposed_use", "flow_count", None)}
+
+    def shown(name: str, kind: str, alias: str, column: str | None):
+        return (F.lit(None) if column is None else F.col(column)).cast(kind).alias(alias)
+
+    return append_all([rounded(found[report].select(
+        F.lit(report).alias("report"), shown(report, "string", "label", first),
+        shown(report, "string", "second", second), shown(report, "bigint", "n", n),
+        shown(report, "double", "amount", amount))) for report, (first, second, n, amount) in shapes.items()])
+
+
+def upserted_permits(spark, sf):
+    """Lines as a stored table by year, with new, amended, outdated and deleted rows put in."""
+    path = scratch_path(spark, "permits-upserted")
+    key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("permit_number")
+    lines = latest(b.lines(spark, sf).select(
+        key, F.col("l_orderkey").alias("o"), F.year("l_shipdate").cast("bigint").alias("issued_year"),
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("cost"),
+        F.to_date("l_shipdate").alias("as_of")), ["permit_number"], "cost")
+    base = lines.where("o % 17 <> 0")
+    write_table(base.select("permit_number", "cost", "as_of", "issued_year"), path, partition_by=["issued_year"])
+    moved = F.when(F.col("o") % 7 == 0, F.col("issued_year") + 1).otherwise(F.col("issued_year"))
+    changes = lines.where("o % 7 = 0 OR o % 11 = 0 OR o % 13 = 0 OR o % 17 = 0").select(
+        "permit_number", (F.col("cost") * 2).cast("decimal(18,2)").alias("cost"),
+        F.when((F.col("o") % 11 == 0) & (F.col("o") % 7 != 0) & (F.col("o") % 13 != 0) & (F.col("o") % 17 != 0),
+               F.date_sub("as_of", 10)).otherwise(F.date_add("as_of", 30)).alias("as_of"),
+        moved.alias("issued_year"), ((F.col("o") % 13 == 0) & (F.col("o") % 17 != 0)).alias("withdrawn"))
+    earlier = changes.withColumns({"cost": F.lit(0).cast("decimal(18,2)"), "as_of": F.date_sub("as_of", 50),
+                                   "withdrawn": F.lit(False)})
+    upsert(path, changes.union(earlier), ["permit_number"], "as_of", "issued_year", deleted="withdrawn")
+    return rounded(spark.read.parquet(path).withColumn("issued_year", F.col("issued_year").cast("bigint")))
+
+
+def landed_responses(spark, sf):
+    """Responses landed in three runs: some come again under other names, and some are changed."""
+    folder, ledger = scratch_path(spark, "landing"), scratch_path(spark, "ledger")
+    whole = b.census_responses(spark, sf)
+    half = F.pmod(F.xxhash64("value"), F.lit(2)) == 0
+    runs = []
+    for name, rows in (("first", whole.where(half)), ("second", whole), ("third", whole.where(~half))):
+        rows.write.option("maxRecordsPerFile", 1).text(f"{folder}/{name}")
+        runs.append(settle(spark, folder, ledger, "*.txt").groupBy("state").agg(F.count("*").alias("files"))
+                    .withColumn("run", F.lit(name)))
+    loaded = read_ledger(spark, ledger).where("state = 'loaded'").select("path")
+    landed = read_json_tables(spark, folder, recursive=True).join(loaded, "path", "left_semi")
+    rows = decode_json_table(landed, {"NAME": "name", "tract": "tract"})
+    return rows.select("name", "tract")
+
+
+def top_parts(spark, sf):
+    """The most ordered of very many parts."""
+    return ranking.top_by_threshold(b.table(spark, sf, "lineitem"), "l_partkey", 15)
+
+
+def column_votes(spark, sf):
+    """Orders out to CSV, and what each column of the texts can be read as."""
+    path = scratch_path(spark, "orders-votes")
+    export_csv(b.table(spark, sf, "orders").select(
+        "o_orderkey", "o_totalprice", F.to_date("o_orderdate").alias("o_orderdate"), "o_orderstatus",
+        F.when(F.col("o_orderkey") % 3 != 0, F.col("o_custkey")).alias("o_custkey"),
+        (F.col("o_orderkey") % 2 == 0).alias("is_even"),
+        F.when(F.col("o_orderkey") % 100 == 1, F.lit("n/a")).otherwise(F.col("o_custkey").cast("string"))
+        .alias("mixed")), path)
+    text = read_csv(spark, path, layout("o_orderkey o_totalprice o_orderdate o_orderstatus o_custkey is_even mixed"))
+    return rounded(profiles.type_votes(text)).select(
+        "column_name", "voted_type", "rows", "nulls", "n_boolean", "n_bigint", "n_double", "n_date",
+        "n_timestamp_ntz", F.when(F.col("voted_type") != "double", F.col("least")).alias("least"),
+        F.when(F.col("voted_type") != "double", F.col("most")).alias("most"))
+
+
+_bucketed: dict[tuple[str, str], dict[str, str]] = {}
+
+
+def _bucketed_tables(spark: SparkSession, sf: str) -> dict[str, str]:
+    """Lines and orders, bucketed by order once per application."""
+    key = spark.sparkContext.applicationId, sf
+    if key not in _bucketed:
+        names = {}
+        for t, column, columns in (("lineitem", "l_orderkey", ("l_orderkey", "l_shipdate")),
+                                   ("orders", "o_orderkey", ("o_orderkey", "o_orderdate", "o_orderpriority"))):
+            path = scratch_path(spark, f"bucketed_{t}")
+            names[t] = path.rsplit("/", 1)[1].replace("-", "_")
+            write_table(b.table(spark, sf, t).select(*columns), path, table=names[t], bucket_by=[column], buckets=16)
+        _bucketed[key] = names
+    return _bucketed[key]
+
+
+def bucketed_stats(spark, sf):
+    """Statistics of the days from order to shipment, from tables that join without a shuffle."""
+    names = _bucketed_tables(spark, sf)
+    lines, orders = spark.table(names["lineitem"]), spark.table(names["orders"])
+    timely = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("o_orderpriority").alias("permit_type"),
+        days_between("o_orderdate", "l_shipdate").alias("processing_days")).filter(
+        F.col("processing_days").between(0, 1000))
+    return timing.processing_stats(timely)
+
+
+def customers_in_areas(spark, sf):
+    """Customers as points in the diamonds, with a hole each, that suppliers stand for."""
+    points = b.table(spark, sf, "customer").select(
+        "c_custkey", F.col("c_acctbal").alias("x"), (F.col("c_custkey") * 37 % 10000).cast("double").alias("y"))
+    y, r = F.col("s_suppkey") * 53 % 10000, 200 + F.col("s_nationkey") * 40
+
+    def ring(size):
+        corners = ((size, 0), (0, size), (-size, 0), (0, -size), (size, 0))
+        return F.concat(F.lit("("), F.concat_ws(", ", *[F.concat_ws(
+            " ", (F.col("s_acctbal") + dx).cast("string"), (y + dy).cast("string")) for dx, dy in corners]), F.lit(")"))
+
+    areas = b.table(spark, sf, "supplier").select(
+        "s_suppkey", F.concat(F.lit("MULTIPOLYGON (("), ring(r), F.lit(", "), ring(r / 4), F.lit("))")).alias("geom"))
+    return points_in_areas(points, areas, x="x", y="y", area_id="s_suppkey", wkt="geom", cell=250.0,
+                           name="area").select("c_custkey", "area")
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     permits_clean, permits_clean_narrow, land_use_clean, hpi_clean, census_clean,
     quality_summary, permits_trend, trend_top_types, neighborhood_activity,
@@ -435,4 +607,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     census_landing, census_landed, appended_responses, csv_load, csv_rejects, csv_export_multiline,
     csv_inferred, stored_trend, stored_once, view_trend, kept_trend, exported_views, table_profile,
     label_texts,
+    csv_split_multiline, merged_trend, merged_activity, merged_quality, merged_stats, merged_quantiles,
+    report_pack, upserted_permits, landed_responses, top_parts, column_votes, bucketed_stats,
+    customers_in_areas,
 )}

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..operators import activity, cleaning, combined, flows, ranking, regions, series, timing
 from ..schemas import (BUILDING_PERMITS, CENSUS_ACS, CENSUS_VARIABLES, DAYS_RANGE,
                        HOUSE_PRICE_INDEX, LAND_USE, SAMPLE_ROWS, TOP_TIMING_TYPES)
-from ..sources import (Typed, decode_json_table, read_csv, read_json_tables, register_view,
+from ..sources import (Typed, decode_json_table, read_csv, read_csv_split, read_json_tables, register_view,
                        rejected_responses, type_columns, write_table)
 
 LAYOUTS = {
@@ -36,12 +36,13 @@ def load_sources(
 ) -> dict[str, Typed]:
     """Landed CSV files, converted, with the rejects of each source beside the good rows.
 
-    Files of the sources in `multiline` may have line breaks inside quotes and are read by one
-    task each. Permits, the largest source, need it; `store` pays for it once.
+    Files of the sources in `multiline` may have line breaks inside quotes. They are read by ranges, as
+    others are, after one pass at once that learns how the ranges begin.
     """
     return {
         name: type_columns(
-            read_csv(spark, path, LAYOUTS[name], multiline=name in multiline), LAYOUTS[name])
+            read_csv_split(spark, path, LAYOUTS[name]) if name in multiline
+            else read_csv(spark, path, LAYOUTS[name]), LAYOUTS[name])
         for name, path in paths.items()
     }
 
@@ -125,7 +126,7 @@ def reports(clean: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     timely = permits.filter(F.col("processing_days").between(*DAYS_RANGE))
     trend = activity.trend(permits)
     changes = flows.change_of_use(permits)
-    by_county = regions.county_stats(census)
+    by_county, bounds = regions.county_stats_and_bounds(census)
     views = {
         "quality_summary": activity.quality_summary(permits),
         "permits_trend": trend,
@@ -145,7 +146,7 @@ def reports(clean: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         "permits_vs_hpi": combined.permits_vs_index(trend, clean["hpi_clean"]),
         "census_clean": census,
         "county_stats": by_county,
-        "county_markers": regions.county_markers(by_county, regions.colour_bounds(census)),
+        "county_markers": regions.county_markers(by_county, bounds),
         "neighborhood_income_vs_wait": combined.income_vs_wait(permits, census),
         "processing_stats": timing.processing_stats(timely),
         "neighborhood_ranked": activity.places_ranked(timely),

@@ -478,3 +478,93 @@ GROUP BY 1""",
        CASE WHEN o_orderkey % 4 > 1 THEN CAST(o_orderkey AS DOUBLE) END AS number
 FROM orders""",
 }
+
+_QUANTILES = ", ".join(f"round(quantile_cont(l_extendedprice, 0.{q}), 4) AS p{q}0" for q in (1, 5, 9))
+
+# One row for each permit number: the highest cost, then the other columns.
+_PERMITS = """
+keyed AS (
+  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS permit_number, l_orderkey AS o,
+         year(l_shipdate) AS issued_year, CAST(l_extendedprice AS DECIMAL(18,2)) AS cost,
+         CAST(l_shipdate AS DATE) AS as_of FROM lineitem),
+permits AS (
+  SELECT * FROM keyed
+  QUALIFY row_number() OVER (PARTITION BY permit_number ORDER BY cost DESC, o DESC, issued_year DESC, as_of DESC) = 1)"""
+
+
+def _diamond(r: str) -> str:
+    """How many edges of a diamond around (s_acctbal, sy) a ray to the right from (x, y) crosses."""
+    corners = [(f"(s_acctbal + {dx})", f"(sy + {dy})") for dx, dy in (
+        (r, "0"), ("0", r), (f"(-{r})", "0"), ("0", f"(-{r})"))]
+    return " + ".join(
+        f"CAST(({y1} > y) <> ({y2} > y) AND x < ({x2} - {x1}) * (y - {y1}) / ({y2} - {y1}) + {x1} AS INTEGER)"
+        for (x1, y1), (x2, y2) in zip(corners, corners[1:] + corners[:1]))
+
+
+def _votes(name: str, kind: str, nulls: str, counts: str, least: str, most: str) -> str:
+    n = dict.fromkeys(("boolean", "bigint", "double", "date", "timestamp_ntz"), "0") | dict(
+        pair.split("=") for pair in counts.split())
+    votes = ", ".join(f"CAST({v.replace('all', 'count(*)').replace('known', 'count(*) FILTER (o_orderkey % 3 <> 0)').replace('digits', 'count(*) FILTER (o_orderkey % 100 <> 1)')} AS BIGINT) AS n_{k}"
+                      for k, v in n.items())
+    return (f"SELECT '{name}' AS column_name, '{kind}' AS voted_type, count(*) AS rows, CAST({nulls} AS BIGINT) AS nulls, "
+            f"{votes}, {least} AS least, {most} AS most FROM orders")
+
+
+def _text(x: str) -> str:
+    return f"CAST({x} AS VARCHAR)"
+
+
+ORACLE_SQL |= {
+    "csv_split_multiline": ORACLE_SQL["csv_export_multiline"],
+    "merged_trend": ORACLE_SQL["permits_trend"],
+    "merged_activity": ORACLE_SQL["neighborhood_activity"],
+    "merged_quality": ORACLE_SQL["quality_summary"],
+    "merged_stats": ORACLE_SQL["processing_stats"],
+    "bucketed_stats": ORACLE_SQL["processing_stats"],
+    "merged_quantiles": f"SELECT l_returnflag, {_QUANTILES} FROM lineitem GROUP BY 1",
+
+    "report_pack": f"""
+SELECT 'trend' AS report, CAST(issued_year AS VARCHAR) AS label, permit_type AS second, permit_count AS n,
+       CAST(NULL AS DOUBLE) AS amount
+FROM (WITH {_TIMED} SELECT issued_year, permit_type, count(*) AS permit_count FROM timed
+      WHERE issued_year BETWEEN 1996 AND 2000 GROUP BY ALL)
+UNION ALL SELECT 'places', neighborhood, NULL, total_permits, avg_processing_days
+FROM ({ORACLE_SQL["neighborhood_activity"]})
+UNION ALL SELECT 'quality', NULL, NULL, total_rows, avg_processing_days FROM ({ORACLE_SQL["quality_summary"]})
+UNION ALL SELECT 'stats', permit_type, NULL, count, median_days FROM ({ORACLE_SQL["processing_stats"]})
+UNION ALL SELECT 'uses', segment, permit_type, n, NULL FROM (
+    WITH {_PLACED} SELECT segment, permit_type, count(*) AS n FROM placed WHERE segment <> permit_type
+    GROUP BY ALL ORDER BY n DESC, segment, permit_type LIMIT 15)""",
+
+    "upserted_permits": f"""WITH {_PERMITS}
+SELECT permit_number,
+       round(CAST(CASE WHEN o % 17 = 0 OR o % 7 = 0 THEN cost * 2 ELSE cost END AS DOUBLE), 4) AS cost,
+       CASE WHEN o % 17 = 0 OR o % 7 = 0 THEN as_of + 30 ELSE as_of END AS as_of,
+       CASE WHEN o % 7 = 0 THEN issued_year + 1 ELSE issued_year END AS issued_year
+FROM permits WHERE o % 13 <> 0 OR o % 17 = 0""",
+
+    "landed_responses": "SELECT c_name AS name, CAST(c_custkey AS VARCHAR) AS tract FROM customer",
+
+    "top_parts": """SELECT l_partkey, count(*) AS score FROM lineitem GROUP BY 1
+ORDER BY score DESC, l_partkey LIMIT 15""",
+
+    "column_votes": " UNION ALL ".join([
+        _votes("o_orderkey", "bigint", "0", "bigint=all double=all", _text("min(o_orderkey)"), _text("max(o_orderkey)")),
+        _votes("o_totalprice", "double", "0", "bigint=0 double=all", "NULL", "NULL"),
+        _votes("o_orderdate", "date", "0", "date=all timestamp_ntz=all",
+               "strftime(min(o_orderdate), '%Y-%m-%d 00:00:00')", "strftime(max(o_orderdate), '%Y-%m-%d 00:00:00')"),
+        _votes("o_orderstatus", "string", "0", "bigint=0", "min(o_orderstatus)", "max(o_orderstatus)"),
+        _votes("o_custkey", "bigint", "count(*) FILTER (o_orderkey % 3 = 0)", "bigint=known double=known",
+               _text("min(o_custkey) FILTER (o_orderkey % 3 <> 0)"), _text("max(o_custkey) FILTER (o_orderkey % 3 <> 0)")),
+        _votes("is_even", "boolean", "0", "boolean=all", "min(CAST(o_orderkey % 2 = 0 AS VARCHAR))",
+               "max(CAST(o_orderkey % 2 = 0 AS VARCHAR))"),
+        _votes("mixed", "string", "0", "bigint=digits double=digits",
+               "min(CASE WHEN o_orderkey % 100 = 1 THEN 'n/a' ELSE CAST(o_custkey AS VARCHAR) END)",
+               "max(CASE WHEN o_orderkey % 100 = 1 THEN 'n/a' ELSE CAST(o_custkey AS VARCHAR) END)")]),
+
+    "customers_in_areas": f"""WITH points AS (
+  SELECT c_custkey, c_acctbal AS x, CAST(c_custkey * 37 % 10000 AS DOUBLE) AS y FROM customer),
+areas AS (SELECT s_suppkey, s_acctbal, s_suppkey * 53 % 10000 AS sy, 200 + s_nationkey * 40 AS r FROM supplier)
+SELECT c_custkey, s_suppkey AS area FROM points, areas
+WHERE ({_diamond('r')} + {_diamond('(r / 4)')}) % 2 = 1""",
+}

@@ -9,13 +9,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_json_tables(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+def read_json_tables(
+    spark: SparkSession, path: str | Sequence[str], *, recursive: bool = False
+) -> DataFrame:
     """One row per landed response file, its text in `value` and where it lies in `path`.
 
     A response is one JSON value, so a file is the unit of parallel work here. All responses
-    under `path` (a folder, a glob or a list) are appended.
+    under `path` (a folder, a glob or a list) are appended, with `recursive` those of folders in it.
     """
-    return spark.read.text(path if isinstance(path, str) else list(path), wholetext=True) \
+    reader = spark.read.option("recursiveFileLookup", recursive)
+    return reader.text(path if isinstance(path, str) else list(path), wholetext=True) \
         .select("value", F.col("_metadata.file_path").alias("path"))
 
 

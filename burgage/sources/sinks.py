@@ -15,13 +15,27 @@ def write_table(
     table: str | None = None,
     partition_by: Sequence[str] = (),
     mode: str = "overwrite",
+    bucket_by: Sequence[str] = (),
+    buckets: int = 0,
 ) -> None:
     """Create or replace a parquet table; mode="ignore" keeps what is already there.
 
     With `partition_by`, rows of one partition value are brought together before the write by a
     rebalance, which adaptive execution splits where one value holds much of the data. So a year
     with most of the rows becomes many files of even size, and a thin year one file.
+
+    With `bucket_by` a table (a name, and a path if it is to lie there) is dealt into `buckets` files by
+    those columns and sorted by them. Tables with the same buckets join on these columns without a
+    shuffle. The rows are shuffled once here, so that each bucket is one file; choose the number so that a
+    bucket fits a task.
     """
+    if bucket_by:
+        if not table or not buckets or partition_by:
+            raise ValueError("a bucketed table needs a name and a number of buckets, and no partitions")
+        writer = (df.repartition(buckets, *bucket_by).write.mode(mode).format("parquet")
+                  .bucketBy(buckets, *bucket_by).sortBy(*bucket_by))
+        (writer.option("path", path) if path else writer).saveAsTable(table)
+        return
     if (path is None) == (table is None):
         raise ValueError("give either path or table")
     if partition_by:

@@ -173,6 +173,7 @@ def test_nothing_runs_while_quantiles_are_built(spark):
         df = spark.range(1000).select((F.col("id") % 3).alias("g"), F.col("id").alias("v"))
         quantiles.exact_quantiles(df, "v", [0.5], ["g"])
         timing.box_summary(df, "v", "g")
+        regions.colour_bounds(df, rent="v")
         regions.county_stats(df.select(*[F.col("v").alias(c) for c in (
             "county", "median_rent", "median_income", "pop_total", "tract")]))
         seen = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
@@ -192,6 +193,28 @@ def test_close_values_end_in_small_bins(spark):
     assert list(got)[1:] == [1.6e15 + 7 * q * 199_999 for q in (0.25, 0.5, 0.9)]
 
 
+def test_an_outlier_does_not_widen_the_bins(spark):
+    """A million distinct times within a second, and one a day later."""
+    times = spark.range(1_000_000).select((F.lit(1_700_000_000_000_000) + F.col("id")).alias("_v")).union(
+        spark.sql("SELECT 1700086400000000L"))
+    df = times.select(F.lit("a").alias("_g"), "_v", F.lit(1).cast("bigint").alias("_n"))
+    near, path = quantiles._narrowed(df, ["_g"], quantiles._positions([0.5]))
+    assert max(r["count"] for r in near.groupBy(*path).count().collect()) <= 64
+    got = quantiles.quantiles_of_counts(df, "_v", "_n", [0.5, 1.0], ["_g"]).collect()[0]
+    assert list(got)[1:] == [1_700_000_000_500_000.0, 1_700_086_400_000_000.0]
+
+
+def test_codes_rise_with_the_value(spark):
+    """They are the bits of the double, so no two values share one."""
+    rng = np.random.default_rng(7)
+    bits = np.concatenate([rng.integers(0, 2047 << 52, 3000), np.arange(5), (np.arange(1, 2047) << 52),
+                           (np.arange(1, 2047) << 52) - 1, [2047 << 52]]).astype(np.int64)
+    values = np.concatenate([bits.view(np.float64), -bits.view(np.float64)])
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    got = np.array([r[0] for r in df.select(quantiles._code(F.col("v"))).collect()])
+    assert (got == np.concatenate([bits, -bits])).all()
+
+
 def test_extreme_values(spark):
     inf = float("inf")
     df = spark.createDataFrame([(-inf,), (-1e308,), (0.0,), (5e-324,), (1e308,), (inf,), (inf,)], "v double")

@@ -1,0 +1,96 @@
+"""The split reader against Spark's own multi-line reader, which takes a file as one task."""
+
+import random
+from collections import Counter
+
+import pytest
+
+from burgage.schemas import layout
+from burgage.sources import malformed, read_csv, read_csv_split, split_records
+
+SHAPE = layout("a b c")
+BITS = ["x", "yy", " ", ",", "\n", "\r\n", '""', "é", "日本", "\n\n", "\t", "1.5", "'", "\\"]
+
+
+def a_field(rng):
+    if rng.random() < 0.4:
+        return rng.choice(["", "plain", "12", " padded ", "NULL", "ü", '""'])
+    return '"' + "".join(rng.choice(BITS) for _ in range(rng.randint(0, 30))) + '"'
+
+
+def a_file(rng, rows, end):
+    lines = ["Head A,Head B,Head C"]
+    for _ in range(rows):
+        lines.append(",".join(a_field(rng) for _ in range(rng.choice([3, 3, 3, 1, 2, 5]))))
+        if rng.random() < 0.05:
+            lines.append("")
+    return end.join(lines) + (end if rng.random() < 0.5 else "")
+
+
+@pytest.fixture
+def small_ranges(spark):
+    keys = {"spark.sql.files.maxPartitionBytes": "997", "spark.sql.files.openCostInBytes": "1"}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k in keys:
+        spark.conf.unset(k)
+
+
+def rows(df):
+    return Counter(map(tuple, df.collect()))
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("seed", range(4))
+def test_equals_the_whole_file_reader(spark, tmp_path, small_ranges, seed, end):
+    rng = random.Random(seed)
+    for i in range(3):
+        (tmp_path / f"{i}.csv").write_bytes(a_file(rng, rng.choice([1, 40, 200]), end).encode())
+    path = str(tmp_path)
+    assert rows(read_csv_split(spark, path, SHAPE)) == rows(read_csv(spark, path, SHAPE, multiline=True))
+    assert rows(read_csv_split(spark, path, SHAPE, header=False)) == rows(
+        read_csv(spark, path, SHAPE, header=False, multiline=True))
+
+
+def test_one_file_is_read_by_many_tasks(spark, tmp_path, small_ranges):
+    (tmp_path / "a.csv").write_text(a_file(random.Random(9), 500, "\n"), encoding="utf-8")
+    records = split_records(spark, str(tmp_path / "a.csv"))
+    assert records.rdd.getNumPartitions() > 8
+    assert read_csv(spark, str(tmp_path / "a.csv"), SHAPE, multiline=True).rdd.getNumPartitions() == 1
+
+
+def test_records_longer_than_ranges(spark, tmp_path, small_ranges):
+    """A field over several ranges, breaks at borders, and a header of two lines."""
+    long = "\n".join(f'line {i} ""said"", and' for i in range(400))
+    text = f'"Head\nA",B,C\n1,"{long}",2\n3,"short\n",4\n5,"{long}\n",6\n'
+    (tmp_path / "a.csv").write_text(text, encoding="utf-8")
+    want = rows(read_csv(spark, str(tmp_path), SHAPE, multiline=True))
+    assert len(want) == 3 and rows(read_csv_split(spark, str(tmp_path), SHAPE)) == want
+
+
+def test_breaks_at_a_border(spark, tmp_path, small_ranges):
+    """Quote, break and comma at each place around the first border."""
+    want = Counter()
+    for at in range(980, 1003):
+        text = 'a,b,c\r\n"' + "x" * at + '""\r\n",2,"\n"\r\n7,8,9\r\n'
+        (tmp_path / f"{at}.csv").write_bytes(text.encode())
+        want.update([("x" * at + '"\n', "2", "\n"), ("7", "8", "9")])
+    assert rows(read_csv(spark, str(tmp_path), SHAPE, multiline=True)) == want
+    assert rows(read_csv_split(spark, str(tmp_path), SHAPE)) == want
+
+
+def test_odd_files(spark, tmp_path):
+    for name, text in {"empty": "", "head": "a,b,c\n", "bom": "\ufeffa,b,c\n1,2,3", "blank": "\n\na,b,c\n\n4,5,6\n\n",
+                       "open": 'a,b,c\n7,8,"never\nclosed'}.items():
+        (tmp_path / f"{name}.csv").write_text(text, encoding="utf-8")
+    got = rows(read_csv_split(spark, str(tmp_path), SHAPE))
+    assert got == Counter([("1", "2", "3"), ("4", "5", "6"), ("7", "8", "never\nclosed")])
+    assert [r.record for r in malformed(split_records(spark, str(tmp_path))).collect()] == ['7,8,"never\nclosed']
+
+
+def test_compressed_files_are_one_range(spark, tmp_path):
+    import gzip
+    with gzip.open(tmp_path / "a.csv.gz", "wt", encoding="utf-8") as f:
+        f.write('a,b,c\n1,"two\nlines",3\n')
+    assert rows(read_csv_split(spark, str(tmp_path), SHAPE)) == Counter([("1", "two\nlines", "3")])

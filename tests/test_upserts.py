@@ -1,0 +1,129 @@
+"""Amended rows and the ledger of landed files."""
+
+import os
+import random
+from collections import Counter
+
+import pytest
+
+from burgage.sources import latest, read_ledger, settle, standing, upsert, write_table
+
+SHAPE = "k string, v long, cost long, year long"
+
+
+def files(path):
+    return {os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
+
+
+def table(spark, path):
+    return Counter(map(tuple, spark.read.parquet(path).select("k", "v", "cost", "year").collect()))
+
+
+def test_latest_is_one_row_per_key(spark):
+    df = spark.createDataFrame([("a", 1, 5, 1), ("a", 2, 4, 2), ("a", 2, 3, 9), (None, 1, 1, 1), (None, 1, 1, 1)], SHAPE)
+    assert sorted(map(tuple, latest(df, ["k"], "v").where("k is not null").collect())) == [("a", 2, 4, 2)]
+    assert latest(df, ["k"], "v").count() == 3
+
+
+@pytest.fixture
+def stored(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [(f"k{i}", 10, i, 2000 + i % 5) for i in range(50)] + [("alone", 10, 0, 2010), (None, 1, 7, 2003)]
+    write_table(spark.createDataFrame(rows, SHAPE), path, partition_by=["year"])
+    return path, {r[0]: r for r in rows if r[0]}, [r for r in rows if not r[0]]
+
+
+def test_only_touched_partitions_are_written(spark, stored):
+    path, rows, _ = stored
+    before = files(path)
+    changes = spark.createDataFrame([("k1", 11, 100, 2001), ("new", 1, 1, 2020)], SHAPE)
+    assert upsert(path, changes, ["k"], "v", "year") == [2001, 2020]
+    after = files(path)
+    kept = {f for f in before if "year=2001" not in f}
+    assert kept <= after and not any("year=2001" in f for f in before & after)
+    rows |= {"k1": ("k1", 11, 100, 2001), "new": ("new", 1, 1, 2020)}
+    assert table(spark, path) == Counter([*rows.values(), (None, 1, 7, 2003)])
+
+
+def test_moves_deletes_and_outdated_rows(spark, stored):
+    path, rows, _ = stored
+    changes = spark.createDataFrame(
+        [("alone", 12, 1, 2002, False), ("k2", 11, 0, 2002, True), ("k3", 9, -1, 2003, False), ("k4", 10, -4, 2004, None),
+         ("k5", 11, -5, None, False), ("gone", 5, 0, 2001, True), (None, 5, 5, 2001, False)], SHAPE + ", gone boolean")
+    touched = upsert(path, changes, ["k"], "v", "year", deleted="gone")
+    assert None in touched and 2010 in touched
+    assert not any("year=2010" in f for f in files(path))
+    rows |= {"alone": ("alone", 12, 1, 2002), "k4": ("k4", 10, -4, 2004), "k5": ("k5", 11, -5, None)}
+    del rows["k2"]
+    want = Counter([*rows.values(), (None, 1, 7, 2003), (None, 5, 5, 2001)])
+    assert table(spark, path) == want
+    known = changes.where("k is not null")
+    upsert(path, known, ["k"], "v", "year", deleted="gone")  # once more changes nothing
+    assert table(spark, path) == want
+    assert upsert(path, changes.where("false"), ["k"], "v", "year", deleted="gone") == []
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_changes(spark, stored, seed):
+    path, rows, loose = stored
+    rng = random.Random(seed)
+    for _ in range(3):
+        changes = [(f"k{rng.randint(0, 70)}", rng.randint(5, 20), rng.randint(0, 9), rng.choice([2000, 2002, 2004, 2015, None]),
+                    rng.random() < 0.2) for _ in range(25)]
+        upsert(path, spark.createDataFrame(changes, SHAPE + ", gone boolean"), ["k"], "v", "year", deleted="gone")
+        order = lambda r: (r[1], *(((x is not None), x or 0) for x in r[:4]), r[4])
+        for k in {c[0] for c in changes}:
+            best = max((c for c in changes if c[0] == k), key=order)
+            if k not in rows or best[1] >= rows[k][1]:
+                rows.pop(k, None)
+                if not best[4]:
+                    rows[k] = best[:4]
+    assert table(spark, path) == Counter([*rows.values(), *loose])
+
+
+# ---- ledger ----
+
+def write(folder, **texts):
+    os.makedirs(folder, exist_ok=True)
+    for name, text in texts.items():
+        with open(f"{folder}/{name}.json", "w", encoding="utf-8") as f:
+            f.write(text)
+
+
+def states(df):
+    return sorted((os.path.basename(r.path)[0], r.state) for r in df.collect())
+
+
+def test_content_is_loaded_once(spark, tmp_path):
+    folder, ledger = str(tmp_path / "in"), str(tmp_path / "ledger")
+    assert read_ledger(spark, ledger).count() == 0
+    write(folder, a="one", b="two", c="one")
+    assert states(settle(spark, folder, ledger)) == [("a", "loaded"), ("b", "loaded"), ("c", "duplicate")]
+    assert states(settle(spark, folder, ledger)) == [("a", "same"), ("b", "same"), ("c", "same")]
+    write(folder, d="two", e="three")
+    assert states(settle(spark, folder, ledger)) == [
+        ("a", "same"), ("b", "same"), ("c", "same"), ("d", "duplicate"), ("e", "loaded")]
+    assert read_ledger(spark, ledger).where("state = 'loaded'").count() == 3
+
+
+def test_changed_content_replaces(spark, tmp_path):
+    folder, ledger = str(tmp_path / "in"), str(tmp_path / "ledger")
+    write(folder, a="one", b="two", c="one")
+    settle(spark, folder, ledger)
+    write(folder, a="new", b="newer")
+    # "one" is still held by c; "two" is held by none.
+    got = settle(spark, folder, ledger)
+    assert states(got) == [("a", "loaded"), ("b", "loaded"), ("b", "replaced"), ("c", "same")]
+    assert len({r.path: r.digest for r in standing(read_ledger(spark, ledger)).collect()}) == 3
+    write(folder, b="two")
+    assert states(settle(spark, folder, ledger)) == [("a", "same"), ("b", "loaded"), ("b", "replaced"), ("c", "same")]
+    write(folder, z="two")
+    assert states(settle(spark, folder, ledger))[-1] == ("z", "duplicate")
+
+
+def test_only_files_that_match(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    write(folder, a="one")
+    with open(f"{folder}/b.txt", "w") as f:
+        f.write("x")
+    assert states(settle(spark, folder, str(tmp_path / "l"), "*.json")) == [("a", "loaded")]
