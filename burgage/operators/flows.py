@@ -83,11 +83,15 @@ def sankey_links(
     edges: DataFrame, k: int | None = None, *, source: str = "existing_use",
     target: str = "proposed_use", amount: str = "flow_count",
 ) -> DataFrame:
-    """All edges, or the k largest, with their ends as node ids."""
-    nodes = sankey_nodes(edges, k, source=source, target=target, amount=amount)
+    """All edges, or the k largest, with their ends as node ids.
+
+    The edges are found once, at once, and written; nodes and links both come from there.
+    """
+    edges = written(_largest(edges, k, source, target, amount), "edges")
+    nodes = sankey_nodes(edges, source=source, target=target, amount=amount)
     begin = nodes.select(F.col("node_id").alias("source_id"), F.col("label").alias(source))
     end = nodes.select(F.col("node_id").alias("target_id"), F.col("label").alias(target))
     return (
-        _largest(edges, k, source, target, amount).join(begin, source).join(end, target)
+        edges.join(begin, source).join(end, target)
         .select("source_id", "target_id", F.col(amount).alias("value"))
     )

@@ -65,12 +65,17 @@ def test_year_ranges_reach_the_scan(plans, name):
 @pytest.mark.parametrize("name, scans", [
     ("permits_trend", 1), ("processing_stats", 2), ("processing_time_box", 2), ("trend_top_types", 2),
     ("peak_years", 2), ("neighborhood_ranked", 4), ("cost_box", 1),
-    ("income_vs_wait", 5), ("sankey_links", 6),
+    ("income_vs_wait", 5), ("change_of_use_merged_words", 6),
 ])
 def test_each_table_is_read_once(plans, name, scans):
     assert plans(name).count("FileScan") == scans
 
 
+def test_links_and_nodes_come_from_one_table(plans):
+    text = plans("sankey_links")
+    assert "/edges-" in text and not re.search(r"(lineitem|orders|customer|supplier|nation|region)\.parquet", text)
+
+
 def test_each_date_is_parsed_once(plans):
     text = plans("permits_clean")
     assert text.count("regexp_replace(") == 4  # three dates and the capitalised type
@@ -121,7 +126,7 @@ def beneath(text, at):
     return found
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - PACKED))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - PACKED - IN_ORDER))
 def test_windows_and_percentiles_follow_an_aggregate(plans, name):
     text = plans(name)
     for word in ("Window [", "ObjectHashAggregate"):
