@@ -81,12 +81,17 @@ _REACH, _BASE = secret_scan.REACH, len(secret_scan.BASE)
 _ROLE = "CASE kind " + " ".join(
     f"WHEN {i} THEN '{secret_scan.ROLES[k]}'" for i, k in enumerate(secret_scan.KINDS)) + " END"
 _NAME = "CASE kind " + " ".join(f"WHEN {i} THEN '{k}'" for i, k in enumerate(secret_scan.KINDS)) + " END"
+_AROUND = ", ".join(map(str, secret_scan.AROUND))
 _SPAN = f"{_NAME} || ':' || start || ':' || stop"
 
 ORACLE_SQL["op4_secret_scan"] = f"""
 WITH t AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
-p AS (SELECT *, {_ROLE} AS role FROM ({' UNION ALL '.join(
-    _matches_sql(i, *k) for i, k in enumerate(secret_scan.BASE + secret_scan.WEAK))})),
+every AS ({' UNION ALL '.join(
+    _matches_sql(i, *k) for i, k in enumerate(secret_scan.BASE + secret_scan.WEAK))}),
+p AS (
+    SELECT *, {_ROLE} AS role FROM every e WHERE kind <> {secret_scan.KINDS.index("mixed")} OR NOT EXISTS (
+        SELECT 1 FROM every o WHERE o.row = e.row AND o.kind IN ({_AROUND})
+        AND o.start <= e.start AND e.stop <= o.stop)),
 found AS (
     SELECT * FROM p WHERE kind < {_BASE} OR EXISTS (
         SELECT 1 FROM p o WHERE o.row = p.row AND o.role <> p.role

@@ -33,17 +33,25 @@ WEAK = (("user", USER, 0, 5),
         ("mixed", "[A-Za-z0-9+/=_-]{32,}", 0, 32),  # and upper case, lower case and a digit
         ("endpoint", r"(?i:https?|jdbc:[a-z]{2,20}|s3|postgres(?:ql)?|mysql|mongodb|redis|amqp)"
                      r"""://[^\x20\x09-\x0D"'<>]{4,}""", 0, 8))
+LITERAL = {"access": "AKIA", "endpoint": "://"}  # what each match of these holds
 KINDS = [k for k, *_ in BASE + WEAK]
+AROUND = [KINDS.index(k) for k in ("access", "user", "endpoint")]
 ROLES = {"assign": "secret", "access": "id", "hex": "secret", "user": "id", "mixed": "secret",
          "endpoint": "endpoint"}
 
 
+MATCH = "array<struct<kind:int,at:int,gap:bigint,size:bigint,good:boolean>>"
+
+
 def _matches(text: Column, kind: str, pattern: str, group: int, least: int) -> Column:
-    """Array of (kind, at, gap, size, good): the match's number, the piece before it, its length."""
+    """Array of (kind, at, gap, size, good): the match's number, the piece before it, its length.
+
+    Most texts have no match. One look tells, and only the others are taken apart.
+    """
     p = F.lit(pattern)
-    zipped = F.arrays_zip(F.split(text, pattern, -1).alias("piece"),
-                          F.regexp_extract_all(text, p, F.lit(0)).alias("full"),
-                          F.regexp_extract_all(text, p, F.lit(group)).alias("part"))
+    full = F.regexp_extract_all(text, p, F.lit(0))
+    zipped = F.arrays_zip(F.split(text, pattern, -1).alias("piece"), full.alias("full"),
+                          (F.regexp_extract_all(text, p, F.lit(group)) if group else full).alias("part"))
 
     def one(x, i):
         good = F.length(x["part"]) >= least
@@ -53,7 +61,11 @@ def _matches(text: Column, kind: str, pattern: str, group: int, least: int) -> C
                         F.length(x["piece"]).cast("long").alias("gap"),
                         F.length(x["full"]).cast("long").alias("size"), good.alias("good"))
 
-    return F.filter(F.transform(zipped, one), lambda x: x["size"].isNotNull())
+    found = F.filter(F.transform(zipped, one), lambda x: x["size"].isNotNull()).cast(MATCH)
+    may = text.rlike(pattern)
+    if kind in LITERAL:
+        may = text.contains(LITERAL[kind]) & may
+    return F.when(may, found).otherwise(F.array().cast(MATCH))
 
 
 def has_certain(text: Column) -> Column:
@@ -67,27 +79,33 @@ def has_certain(text: Column) -> Column:
 def _parts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(row, doc, kind, start, stop): good matches, and a row without kind for each document.
 
-    `row` tells documents apart whatever their ids are; it is made once, before the table is
-    written, so all later steps see the same.
+    `row` tells documents apart whatever their ids are. It is made in the one pass over `docs`,
+    whose matches are written, so all later steps see the same numbers.
+
+    A weak secret inside an endpoint or an identifier is part of that, such as the path of an
+    ordinary address, and is left out.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc"),
-                       F.concat(*(_matches(text, *k) for k in BASE + WEAK)).alias("found"))
+    rows = written(docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc"),
+        F.concat(*(_matches(text, *k) for k in BASE + WEAK)).alias("found")), "matches")
     each = rows.select("row", "doc", F.explode_outer("found").alias("m")).select("row", "doc", "m.*")
     before = Window.partitionBy("row", "kind").orderBy("at")
     stop = F.sum(F.col("gap") + F.col("size")).over(before)
     found = (each.where("kind is not null").withColumn("stop", stop).where("good")
              .select("row", "doc", "kind", (F.col("stop") - F.col("size")).alias("start"), "stop"))
+    around = F.max(F.when(F.col("kind").isin(AROUND), F.col("stop"))).over(
+        Window.partitionBy("row").orderBy("start").rangeBetween(Window.unboundedPreceding, 0))
+    found = (found.withColumn("around", around)
+             .where((F.col("kind") != KINDS.index("mixed")) | F.col("around").isNull()
+                    | (F.col("around") < F.col("stop"))).drop("around"))
     none = rows.select("row", "doc", F.lit(None).cast("int").alias("kind"),
                        F.lit(None).cast("long").alias("start"), F.lit(None).cast("long").alias("stop"))
     return none.union(found)
 
 
-def _linked(parts: DataFrame, reach: int, apart: bool = False) -> DataFrame:
-    """The weak parts that lie within `reach` of a part that completes them.
-
-    With `apart`, parts that overlap do not complete each other.
-    """
+def _linked(parts: DataFrame, reach: int) -> DataFrame:
+    """The weak parts that lie within `reach` of a part that completes them."""
     role = F.element_at(F.array(*(F.lit(ROLES[k]) for k in KINDS)), F.col("kind") + 1)
     p = parts.where("kind is not null").withColumn("role", role)
     weak = p.where(F.col("kind") >= len(BASE)).withColumn(
@@ -105,27 +123,24 @@ def _linked(parts: DataFrame, reach: int, apart: bool = False) -> DataFrame:
             & (F.col("role") != F.col("role2"))
             & ((F.col("role") == "secret") | (F.col("role2") == "secret"))
             & (F.col("start2") <= F.col("stop") + reach) & (F.col("start") <= F.col("stop2") + reach))
-    if apart:
-        near = near & ((F.col("stop2") <= F.col("start")) | (F.col("stop") <= F.col("start2")))
     return (wide.join(offered, near, "left_semi")
             .select("row", "doc", "kind", "start", "stop").distinct())
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         reach: int = REACH, apart: bool = False) -> DataFrame:
+         reach: int = REACH) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans) for each row of `docs`.
 
     A null text counts as empty; rows without spans have zero counts, the hash of an empty text
     and empty spans. Rows with a null or repeated id stay apart. Spans are kind:start:end by
-    start, then kind, weak kinds after the base ones. Other columns are not looked at. With `apart`,
-    a weak part is kept only beside one that it does not overlap.
+    start, then kind, weak kinds after the base ones. Other columns are not looked at.
 
     Texts never move: tasks find the matches, and only positions are shuffled. Spans of one text
     come together, which its length bounds.
     """
     parts = written(_parts(docs, id_col, text_col), "parts")
     certain = parts.where(F.col("kind").isNull() | (F.col("kind") < len(BASE)))
-    both = certain.union(_linked(parts, reach, apart))
+    both = certain.union(_linked(parts, reach))
     span = F.when(F.col("kind").isNotNull(), F.struct("start", "kind", "stop"))
     name = F.array(*map(F.lit, KINDS))
 
@@ -145,12 +160,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def without_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents in which `scan` finds nothing, parts that overlap left apart.
-
-    The path of an ordinary address is a mixed token inside an endpoint, and no credential.
+    """The documents in which `scan` finds nothing.
 
     Those with certain spans go by a filter on the text; those with linked weak spans alone go by
-    their id, so such a document stays if its id is null.
+    their id: rows that share an id with one go with it, and one with a null id stays.
     """
-    found = scan(docs, id_col, text_col, apart=True).where("spans <> ''").select(id_col).distinct()
+    found = (scan(docs, id_col, text_col).where("spans <> ''")
+             .select(F.col("doc_id").alias(id_col)).distinct())
     return docs.where(~has_certain(F.col(text_col))).join(found, id_col, "left_anti").select(docs.columns)
