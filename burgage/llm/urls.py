@@ -84,13 +84,17 @@ def url_tokens(url: Column) -> Column:
 
 
 def token_counts(urls: DataFrame, url_col: str, rules: list[Rule]) -> dict[str, int]:
-    """In how many URLs each token of the rules stands; bounded by the rules' tokens."""
+    """In how many URLs each token of the rules stands; bounded by the rules' tokens.
+
+    All tokens are counted where the URLs are read and only counts are shuffled, so a token that is
+    in every URL is a row per task.
+    """
     wanted = sorted({t for r in rules for t in r.tokens})
     if not wanted:
         return {}
     names = urls.sparkSession.createDataFrame([(t,) for t in wanted], "token string")
     found = (urls.select(F.explode(url_tokens(F.col(url_col))).alias("token"))
-             .join(names, "token", "left_semi").groupBy("token").count())
+             .groupBy("token").count().join(names, "token", "left_semi"))
     return {r["token"]: r["count"] for r in found.collect()}
 
 

@@ -113,7 +113,7 @@ class Stream:
     """Bytes of a file from `start` on, read as needed and forgotten when passed."""
 
     def __init__(self, file, start: int, size: int):
-        self.file, self.base, self.size, self.held = file, start, size, b""
+        self.file, self.base, self.size, self.held = file, start, size, bytearray()
         file.seek(start)
 
     def fill(self) -> bool:
@@ -124,7 +124,12 @@ class Stream:
     def drop(self, upto: int) -> None:
         """Forget what lies before position `upto` of the file, once that is worth the copy."""
         if upto - self.base >= READ_BYTES or upto - self.base == len(self.held):
-            self.held, self.base = self.held[upto - self.base:], upto
+            del self.held[:upto - self.base]
+            self.base = upto
+
+
+class Damaged(Exception):
+    """A member that begins as a record, but cannot be read to its end."""
 
 
 def inflate(s: Stream, at: int) -> tuple[bytes, int] | None:
@@ -132,11 +137,15 @@ def inflate(s: Stream, at: int) -> tuple[bytes, int] | None:
     z, out, pos, checked = zlib.decompressobj(31), [], at - s.base, False
     while not z.eof:
         if pos >= len(s.held) and not s.fill():
+            if checked:
+                raise Damaged("the file ends within the record")
             return None
         piece = s.held[pos:pos + PIECE_BYTES]
         try:
             out.append(z.decompress(piece))
-        except zlib.error:
+        except zlib.error as error:
+            if checked:
+                raise Damaged(str(error)) from None
             return None
         pos += len(piece)
         if not checked and (z.eof or sum(map(len, out)) >= len(VERSION)):
@@ -147,7 +156,8 @@ def inflate(s: Stream, at: int) -> tuple[bytes, int] | None:
 
 
 def records(file, start: int, stop: int, size: int):
-    """(offset, record) of the WARC records that start in [start, stop)."""
+    """(offset, record, None) of the WARC records that start in [start, stop), and (offset, None,
+    error) of those that cannot be read to their end."""
     s = Stream(file, start, size)
     at = start
     while at < stop:
@@ -162,11 +172,15 @@ def records(file, start: int, stop: int, size: int):
         if at >= stop:
             return
         s.drop(at)
-        got = inflate(s, at)
+        try:
+            got = inflate(s, at)
+        except Damaged as error:
+            yield at, None, str(error)
+            got = None
         if got is None:
             at += 1
         else:
-            yield at, got[0]
+            yield at, got[0], None
             at = got[1]
             s.drop(at)
 
@@ -194,7 +208,9 @@ def parsed(data: bytes) -> tuple:
 def read_archives(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Records below `path`, one row each, with the file and offset they start at.
 
-    Only response and revisit records are rows; others in an archive are passed over. Files are
+    Only response and revisit records are rows; others in an archive are passed over. A record that
+    cannot be read to its end, or whose payload differs from its digest, is a row of type `damaged` with
+    the error, and reading goes on behind it; in all other rows `error` is null. Files are
     listed by Spark and opened by their URI, so any store that Arrow's file systems know will do.
     A payload that itself holds a whole gzipped WARC file uncompressed could be taken for records
     by a range that starts inside it; UTF-8 text cannot, since the magic is no UTF-8.
@@ -212,12 +228,19 @@ def read_archives(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES
                 store, name = fs.FileSystem.from_uri(quote(uri, safe=":/@"))
                 rows, held = [], 0
                 with store.open_input_file(name) as file:
-                    for at, data in records(file, start, min(start + range_bytes, size), size):
-                        if not re.search(rb"(?im)^WARC-Type: (response|revisit)\r$",
-                                         data.partition(b"\r\n\r\n")[0]):
-                            continue
-                        rows.append((*parsed(data), uri, at))
-                        held += len(data)
+                    for at, data, error in records(file, start, min(start + range_bytes, size), size):
+                        if error is None:
+                            if not re.search(rb"(?im)^WARC-Type: (response|revisit)\r$",
+                                             data.partition(b"\r\n\r\n")[0]):
+                                continue
+                            held += len(data)
+                            try:
+                                row = parsed(data)
+                            except (ValueError, KeyError, TypeError) as wrong:
+                                error = f"{type(wrong).__name__}: {wrong}"
+                        if error is not None:
+                            row = ("damaged", *[None] * 6)
+                        rows.append((*row, uri, at, error))
                         if held > 16 << 20:
                             yield pa.RecordBatch.from_pylist(
                                 [dict(zip(SCHEMA.names, r)) for r in rows], SCHEMA)
@@ -226,13 +249,13 @@ def read_archives(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES
 
     return dealt.mapInArrow(
         run, "record_type string, page_id long, url string, payload binary, payload_bytes long, "
-             "payload_digest string, refers_to long, file string, offset long")
+             "payload_digest string, refers_to long, file string, offset long, error string")
 
 
 SCHEMA = pa.schema([("record_type", pa.string()), ("page_id", pa.int64()), ("url", pa.string()),
                     ("payload", pa.binary()), ("payload_bytes", pa.int64()),
                     ("payload_digest", pa.string()), ("refers_to", pa.int64()),
-                    ("file", pa.string()), ("offset", pa.int64())])
+                    ("file", pa.string()), ("offset", pa.int64()), ("error", pa.string())])
 
 
 def round_trip(pages: DataFrame, **how) -> DataFrame:
