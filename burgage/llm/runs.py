@@ -59,3 +59,11 @@ def merge_labels(labels: np.ndarray, members: np.ndarray) -> None:
     low = met.min()
     if low != met.max():
         labels[np.isin(labels, np.unique(met))] = low
+
+
+def unused(columns: list[str], name: str) -> str:
+    """`name` with as many underscores before it as no column has, in any case of letters."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..session import written
 from .components import connected
-from .runs import key_runs, merge_labels
+from .runs import key_runs, merge_labels, unused
 
 SHINGLE_WORDS = 4   # fixed by the contract
 SEED = 42           # fixed by the contract
@@ -223,13 +223,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of `docs` with one document of each component left: that with the smallest id.
 
-    Rows repeated under the kept id are reduced to one. Rows without an id cannot be told from
-    one another and all stay.
+    Rows that repeat both id and text are reduced to one, any of
+    them. Rows that share a kept id but not the text all stay, since nothing says which
+    of them the id means. Rows without an id cannot be told from one another and all stay.
     """
-    found = near_duplicates(docs, id_col, **how)
+    found = near_duplicates(docs, id_col, text_col, **how)
     stay = found.select(F.col("component_id").alias(id_col)).where(F.col(id_col).isNotNull()).distinct()
-    return (docs.join(stay, id_col, "left_semi").dropDuplicates([id_col])
+    key = unused(docs.columns, "text_hash")
+    kept = docs.join(stay, id_col, "left_semi").withColumn(key, F.xxhash64(F.col(text_col).cast("string")))
+    return (kept.dropDuplicates([id_col, key]).drop(key)
             .unionByName(docs.where(F.col(id_col).isNull())).select(docs.columns))
