@@ -39,6 +39,15 @@ def test_components_of_random_graphs(frame):
     assert got == roots({x for p in real for x in p}, real)
 
 
+def test_rows_that_share_an_id_but_not_the_text(frame):
+    rng = random.Random(17)
+    text = lambda: " ".join(f"q{rng.randint(0, 10**9)}" for _ in range(40))
+    a, b, c = text(), text(), text()
+    rows = [(1, a, "x"), (1, b, "x"), (1, a, "x"), (2, a, "x"), (3, c, "x"), (None, a, "x"), (None, a, "x")]
+    got = simhash.one_of_each(frame(rows, DOCS)).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter({(1, a): 1, (1, b): 1, (3, c): 1, (None, a): 2})
+
+
 def test_components_without_links(frame):
     assert components.connected(frame([], "a long, b long")).collect() == []
 
@@ -225,28 +234,134 @@ def test_passages_behind_many_texts_with_the_same_block(frame):
         i: i - i % 2 if i < 20 else min(i, 60) for i in range(70)}
 
 
-def test_links_stand_for_all_pairs():
-    """Random windows of one value: texts with equal windows hang together, all others are paired."""
+def some_windows(rng, keys, contexts, texts, n):
+    """Windows whose contexts are a few ones with some places changed."""
+    w = np.zeros(n, passages.WINDOW)
+    w["key"], w["node"] = rng.integers(1, keys + 1, n), rng.integers(0, texts, n)
+    w["at"] = rng.integers(100, 5000, n)
+    w["low"], w["high"] = w["at"] - 60, w["at"] + 60
+    base = rng.integers(1, 1 << 16, (keys * contexts, w["context"].shape[1]))
+    w["context"] = base[(w["key"].astype(int) - 1) * contexts + rng.integers(0, contexts, n)]
+    for i in range(n):
+        for at in rng.integers(0, w["context"].shape[1], rng.integers(0, 4)):
+            w["context"][i, at:at + 5] = rng.integers(1, 1 << 16)
+    return w
+
+
+@pytest.mark.parametrize("cell", [256, 8])
+def test_links_connect_what_is_alike(monkeypatch, cell):
+    """Every window with a partner alike has one, and what hangs together by pairs still does."""
+    monkeypatch.setattr(passages, "CELL", cell)
     rng = np.random.default_rng(10)
-    n = 300
-    w = np.zeros((n, 7), np.int64)
-    w[:, 1] = rng.integers(0, 120, n)
-    w[:, 2:5] = rng.integers(0, 500, n)[:, None] + np.array([0, 30, 60])
-    w[:, 6] = rng.integers(0, 200, n)
-    w[:, 0] = w[:, 6] % 3
-    w = w[np.argsort(w[:, 0])]
-    links = {(*r[[1, 3, 6, 8]],) for x in passages._linked(w) for r in x}
-    links |= {(c, d, a, b) for a, b, c, d in links}
-    w = passages._sorted(w)
-    texts = defaultdict(set)
-    for r in w:
-        texts[r[6]].add(r[1])
-    for r in w:
-        if len(texts[r[6]]) > 1:  # whole window covered by one of another text
-            assert any((r[1], r[3], q[1], q[3]) in links for q in w if q[6] == r[6])
-        for q in w:
-            if q[0] == r[0] and q[1] != r[1] and len(texts[q[6]]) == len(texts[r[6]]) == 1 and q[6] != r[6]:
-                assert (r[1], r[3], q[1], q[3]) in links
+    w = some_windows(rng, 6, 5, 150, 400)
+    pairs = passages.linked(w)
+    name = lambda r: (int(r["key"]), int(r["node"]), int(r["at"]))
+    links = [(name(p), name(q)) for p, q in pairs]
+    assert all(p[0] == q[0] and p[1] != q[1] for p, q in links) and len(links) <= (1 if cell == 256 else 9) * len(w)
+    every = [(name(w[i]), name(w[j])) for i in range(len(w)) for j in range(i) if w["key"][i] == w["key"][j]
+             and w["node"][i] != w["node"][j] and passages.common(w["context"][i:i + 1], w["context"][j:j + 1])[0] >= passages.SHARED]
+    nodes = {x for p in every for x in p}
+    want, got = roots(nodes, every), roots(nodes | {x for p in links for x in p}, links)
+    alone = [x for x in nodes if x not in {y for p in links for y in p}]
+    assert len(alone) <= (0 if cell == 256 else 0.01 * len(nodes))
+    same = sum(want[a] == want[b] for a, b in every)
+    assert sum(got[a] == got[b] for a, b in every) >= (1.0 if cell == 256 else 0.98) * same
+
+
+def test_common_hashes_of_contexts():
+    a = np.zeros((2, 91), np.uint16)
+    a[:, :50] = np.arange(1, 51)
+    b = np.zeros((2, 91), np.uint16)
+    b[0, 30:80], b[1, 20:70] = np.arange(1, 51), np.arange(100, 150)
+    assert passages.common(a, b).tolist() == [50, 0]
+
+
+@pytest.mark.parametrize("kind", ["random", "few values", "one value"])
+def test_windows_of_many_texts_at_once(kind):
+    rng = np.random.default_rng(3)
+    top = {"random": 1 << 60, "few values": 6, "one value": 2}[kind]
+    parts = [rng.integers(1, top, n).astype(np.uint64) for n in (1, 19, 20, 21, 400, 3, 90, 1000)]
+    values = np.concatenate([np.concatenate([np.zeros(1, np.uint64), p]) for p in parts] + [np.zeros(1, np.uint64)])
+    want, at = set(), 1
+    for p in parts:
+        want |= {(a + at, b + at, c + at) for a, b, c in passages.compact_windows(p, 20)}
+        at += len(p) + 1
+    assert {*zip(*(x.tolist() for x in passages.all_windows(values, 20)))} == want
+
+
+def test_passages_that_repeat_themselves(frame):
+    """Verbatim passages of 60 to 400 words with a period of 7 to 31, each in two texts."""
+    rng = random.Random(14)
+    rest = lambda n: [f"q{rng.randint(0, 10**9)}" for _ in range(n)]
+    rows = []
+    for i in range(20):
+        line, n = rest(rng.randint(7, 31)), rng.randint(60, 400)
+        part = (line * 60)[:n]
+        rows += [(2 * i + j, " ".join(rest(rng.randint(0, 120)) + part + rest(100)), "x") for j in (0, 1)]
+    got = {r.doc_id: r for r in passages.repeated_passages(frame(rows, DOCS)).collect()}
+    assert all(got[i].n_passages and got[i].class_id == i - i % 2 for i in range(40))
+
+
+def test_values_of_very_many_texts(frame, monkeypatch):
+    """Windows spread by their agreements find what windows together find."""
+    rng = random.Random(15)
+    rest = lambda n: [f"q{rng.randint(0, 10**9)}" for _ in range(n)]
+    block, copied = rest(30), rest(90)
+    texts = [rest(60) + block + rest(60) for _ in range(40)] + [rest(i) + copied + rest(50) for i in range(40)]
+    rows = [(i, " ".join(t), "x") for i, t in enumerate(texts)]
+    monkeypatch.setattr(passages, "CELL", 4)
+    monkeypatch.setattr(passages, "partitions", lambda df: 400)  # so that 4 windows of a value are very many
+    calls = []
+    original = passages.hot_links
+    monkeypatch.setattr(passages, "hot_links", lambda *a: (calls.append(len(a[2])), original(*a))[1])
+    got = {r.doc_id: r for r in passages.repeated_passages(frame(rows, DOCS).coalesce(2)).collect()}
+    assert calls and calls[0] > 0
+    assert {i: r.spans for i, r in got.items()} == {i: f"{i - 40}:{i + 50}" if i >= 40 else "" for i in range(80)}
+    assert {r.class_id for i, r in got.items() if i >= 40} == {40}
+
+
+def test_recall_against_all_pairs_of_stretches(frame):
+    """An independent brute force: for each pair of texts all stretches of LEAST shingles, and their
+    similarity as multisets. Texts of frequent lines, rare ones, and edits."""
+    rng = random.Random(16)
+    rest = lambda n: [f"q{rng.randint(0, 10**9)}" for _ in range(n)]
+    lines = [rest(rng.randint(6, 14)) for _ in range(12)]
+    long = [rest(rng.randint(55, 110)) for _ in range(6)]
+    texts = []
+    for _ in range(50):
+        t = []
+        for _ in range(rng.randint(1, 5)):
+            kind = rng.random()
+            part = rng.choice(long) if kind < 0.35 else sum(rng.choices(lines, k=rng.randint(1, 3)), []) if kind < 0.7 else rest(rng.randint(5, 60))
+            part = list(part)
+            for _ in range(len(part) // 60):
+                if rng.random() < 0.5:
+                    part[rng.randrange(len(part))] = f"e{rng.randint(0, 10**9)}"
+            t += part
+        texts.append(t)
+    n = passages.LEAST
+    parts = [[tuple(t[i:i + 5]) for i in range(len(t) - 4)] for t in texts]
+    want = defaultdict(set)
+    for a in range(50):
+        for b in range(a):
+            one, two = parts[a], parts[b]
+            if len(one) < n or len(two) < n or len(set(one) & set(two)) < 40:
+                continue
+            for i in range(len(one) - n + 1):
+                here = Counter(one[i:i + n])
+                for j in range(len(two) - n + 1):
+                    if two[j] not in here and two[j + n - 1] not in here:
+                        continue
+                    both = sum((here & Counter(two[j:j + n])).values())
+                    if both >= 0.8 * (2 * n - both):
+                        want[a] |= set(range(i, i + n + 4))
+                        want[b] |= set(range(j, j + n + 4))
+    rows = [(i, " ".join(t), "x") for i, t in enumerate(texts)]
+    got = {r.doc_id: {w for s in r.spans.split(",") if s for w in range(*map(int, s.split(":")))}
+           for r in passages.repeated_passages(frame(rows, DOCS)).collect()}
+    found, all_ = sum(len(want[i] & got[i]) for i in want), sum(map(len, want.values()))
+    assert all_ > 1000 and found >= 0.95 * all_
+    assert sum(bool(got[i]) for i in want) >= 0.95 * len(want)
 
 
 def test_passages_that_lie_apart_in_the_other_text():
@@ -391,3 +506,41 @@ def test_all_within_the_radius_are_found():
     distance = np.bitwise_count(asked[:, None] ^ prints)
     assert set(zip(a.tolist(), b.tolist())) == set(zip(*map(np.ndarray.tolist, np.nonzero(
         distance <= decontamination.RADIUS))))
+
+
+def test_edited_items_are_found(frame):
+    """Random items with edits anywhere: pairs at 0.8 or more by all stretches of all lengths, and no other."""
+    rng = random.Random(19)
+    rest = lambda n: [f"q{rng.randint(0, 10**9)}" for _ in range(n)]
+    items = [rest(rng.randint(12, 120)) for _ in range(60)]
+    docs = []
+    for _ in range(240):
+        item = rng.randrange(60)
+        part = list(items[item])
+        for _ in range(rng.choice([0, 1, 1, 2, 3])):
+            at = rng.randrange(len(part))
+            part[at:at + rng.choice([0, 1, 1, 3])] = rest(rng.choice([0, 1, 1, 2]))
+        docs.append(rest(rng.randint(0, 150)) + part + rest(rng.randint(0, 150)))
+    counts = [Counter(tuple(t[i:i + 5]) for i in range(len(t) - 4)) for t in items]
+    want = set()
+    for d, words in enumerate(docs):
+        parts = [tuple(words[i:i + 5]) for i in range(len(words) - 4)]
+        known = Counter(parts)
+        for k, item in enumerate(counts):
+            n = sum(item.values())
+            if sum((known & item).values()) < 0.6 * n:
+                continue
+            best = 0.0
+            for start in (i for i, p in enumerate(parts) if p in item):
+                seen, shared = Counter(), 0
+                for size, p in enumerate(parts[start:start + 2 * n], 1):
+                    seen[p] += 1
+                    shared += seen[p] <= item.get(p, 0)
+                    best = max(best, shared / (size + n - shared))
+            if best >= 0.8:
+                want.add((d, k))
+    found = decontamination.contaminated(
+        frame([(i, " ".join(t), "x") for i, t in enumerate(docs)], DOCS),
+        frame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string"))
+    got = {(r.doc_id, r.item_id) for r in found.collect()}
+    assert got <= want and len(got) >= 0.97 * len(want) > 100

@@ -1,6 +1,7 @@
 """The registered queries against SQL, and the pipeline against a plain version of its stages."""
 
 import re
+import zlib
 from collections import Counter
 
 import duckdb
@@ -25,7 +26,7 @@ def test_query_equals_sql(spark, name, sf):
 
 
 def test_every_operator_is_registered():
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES} == set(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
 
@@ -61,18 +62,62 @@ def plain_words(text):
     return re.findall(r"[^\W_]+", (text or "").lower())
 
 
+def best_similarity(parts, item):
+    """The greatest weighted similarity of an item with a stretch of `parts`, of any length."""
+    n, best = sum(item.values()), 0.0
+    for start in range(len(parts)):
+        if parts[start] not in item:
+            continue
+        seen, shared = Counter(), 0
+        for size, part in enumerate(parts[start:start + 2 * n], 1):
+            seen[part] += 1
+            shared += seen[part] <= item.get(part, 0)
+            best = max(best, shared / (size + n - shared))
+    return best
+
+
 def plain_leak(text, items):
-    """Whether some stretch of an item's length has weighted similarity 0.8 with the item."""
+    """Whether some stretch of any length has weighted similarity 0.8 with an item."""
     words = plain_words(text)
     parts = [tuple(words[i:i + 5]) for i in range(len(words) - 4)]
     known = Counter(parts)
-    for item in items:
-        n = sum(item.values())
-        if sum((known & item).values()) < 0.6 * n:
-            continue
-        if any(similarity(Counter(parts[max(0, i):i + n]), item) >= 0.8 for i in range(-n // 5, len(parts))):
-            return True
-    return False
+    return any(best_similarity(parts, item) >= 0.8 for item in items
+               if sum((known & item).values()) >= 0.6 * sum(item.values()))
+
+
+def test_shards_of_the_query(spark):
+    """The law of equal bytes, slots without gaps, equal texts together."""
+    sf_dir = f"{TESTDATA}/sf0.001"
+    texts = {i: t or "" for i, (t, _) in documents(sf_dir).items()}
+    rows = queries.QUERIES["op13_sharding"](spark, sf_dir).collect()
+    assert {(r.doc_id, r.size, r.text_crc32, r.law, r.grown_shard) for r in rows} == {
+        (i, len(t.encode()) + 8, zlib.crc32(t.encode()), "bytes", None) for i, t in texts.items()}
+    assert len(rows) == len(texts) and len({(texts[r.doc_id], r.shard) for r in rows}) == len(set(texts.values()))
+    sizes, slots = Counter(), {}
+    for r in rows:
+        sizes[r.shard] += r.size
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert set(sizes) <= set(range(24)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    groups = Counter()
+    for r in rows:
+        groups[texts[r.doc_id]] += r.size
+    assert max(sizes.values()) <= max(max(groups.values()), 1.02 * sum(sizes.values()) / 24)
+
+
+def test_contaminated_query_equals_brute_force(spark):
+    """All stretches of all lengths of all documents against all items."""
+    sf_dir = f"{TESTDATA}/sf0.001"
+    items = {i: Counter(tuple(w[k:k + 5]) for k in range(len(w) - 4)) for i, w in (
+        (i, plain_words(t)) for i, t in duckdb.sql(f"SELECT item_id, text FROM '{sf_dir}/benchmark.parquet'").fetchall())}
+    want = set()
+    for i, (text, _) in documents(sf_dir).items():
+        words = plain_words(text)
+        parts = [tuple(words[k:k + 5]) for k in range(len(words) - 4)]
+        known = Counter(parts)
+        want |= {(i, k) for k, item in items.items() if sum((known & item).values()) >= 0.6 * sum(item.values())
+                 and best_similarity(parts, item) >= 0.8}
+    got = {(r.doc_id, r.item_id) for r in queries.QUERIES["op1_decontamination"](spark, sf_dir).collect()}
+    assert got <= want and len(got) >= 0.95 * len(want) and want
 
 
 def test_pipeline_equals_plain_stages(spark):

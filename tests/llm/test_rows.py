@@ -67,6 +67,36 @@ def test_scores_are_those_of_naive_bayes(frame):
         assert r.score == pytest.approx(1 / sum(math.exp(v - top) for v in s.values()), abs=1e-3)
 
 
+def test_very_many_languages(frame, monkeypatch):
+    """Scored in blocks, with the same result as in one; dirty language columns fill no task."""
+    rng = random.Random(18)
+    letters = "abcdefghijklmnop"
+    rows = [(i, "".join(rng.choice(letters[i % 7:i % 7 + 5] + " ") for _ in range(rng.randint(0, 80))), f"l{i % 90}")
+            for i in range(400)] + [(1000, "", "l1"), (1001, None, "l2"), (1002, "aaa", None), (1003, "123", "l3")]
+    table = frame(rows, "doc_id long, text string, lang string")
+
+    def found():
+        model = langid.train(table, F.lit(True), buckets=256)
+        return model, {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(table, model).collect()}
+
+    model, whole = found()
+    assert model["blocks"] == 1 and whole[1003] == ("und", 0.0) and whole[1001] == ("und", 0.0)
+    monkeypatch.setattr(langid, "BLOCK_LANGUAGES", 13)
+    monkeypatch.setattr(langid, "DENSE_LANGUAGES", 5)
+    model, parts = found()
+    assert model["blocks"] == 7 and "matrix" not in model
+    assert {i: x for i, (x, _) in parts.items()} == {i: x for i, (x, _) in whole.items()}
+    assert all(abs(parts[i][1] - whole[i][1]) < 1e-9 for i in whole)
+
+
+def test_language_columns_of_the_same_names(frame):
+    rows = [(i, "der hund und die katze" if i % 2 else "the dog and the cat", "de" if i % 2 else "en", "a", "b", "c", "d")
+            for i in range(20)]
+    table = frame(rows, "doc_id long, text string, lang string, lang_pred string, _lang_pred string, score string, _score string")
+    got = langid.identified(table, langid.F.lit(True), 0.5)
+    assert got.columns == table.columns and sorted(map(tuple, got.collect())) == sorted(rows)
+
+
 def test_language_without_a_model(frame):
     docs = frame([(1, "text", None), (2, None, None)], "doc_id long, text string, lang string")
     assert langid.train(docs, F.expr(ALL)) is None
@@ -134,10 +164,28 @@ def test_false_magic_is_passed_over(tmp_path):
         got = []
         with open(path, "rb") as f:
             for start in range(0, len(data), step):
-                got += [warc.parsed(r)[1] for _, r in warc.records(f, start, min(start + step, len(data)), len(data))]
+                got += [warc.parsed(r)[1] for _, r, _ in warc.records(f, start, min(start + step, len(data)), len(data))]
         assert got == [1, 2]
 
 
+@pytest.mark.parametrize("range_bytes", [50, 1 << 20])
+def test_damaged_records_are_rows(spark, frame, tmp_path, range_bytes):
+    """Three records, the middle one spoilt; then one with a wrong digest, and one cut off."""
+    noise = "".join(hashlib.sha256(str(i).encode()).hexdigest() for i in range(200)).encode()
+    one, two, three = (warc.member(warc.record(i, "u", noise + bytes([i]), None)) for i in (1, 2, 3))
+    spoilt = bytearray(two)
+    spoilt[len(two) // 2:len(two) // 2 + 40] = b"\xff" * 40
+    false = warc.record(4, "u", b"four", None).replace(b"four", b"five")
+    data = one + bytes(spoilt) + three + warc.member(false) + one[:len(one) // 2]
+    (tmp_path / "a.warc.gz").write_bytes(data)
+    got = {r.offset: r for r in warc.read_archives(spark, str(tmp_path), range_bytes).collect()}
+    ends = [0, len(one), len(one) + len(two), len(one + two + three), len(one + two + three) + len(warc.member(false))]
+    assert sorted(got) == ends
+    assert [got[e].record_type for e in ends] == ["response", "damaged", "response", "damaged", "damaged"]
+    assert [got[e].page_id for e in ends] == [1, None, 3, None, None]
+    assert all((got[e].error is None) == (got[e].record_type == "response") for e in ends)
+
+
 def test_warc_of_nothing(frame):
     assert warc.round_trip(frame([], "page_id long, url string, html string")).collect() == []
 
@@ -210,6 +258,27 @@ def test_documents_with_plain_addresses_stay(frame):
     assert sorted(r.doc_id for r in got.collect()) == [0, 1, 3]
 
 
+def test_spans_of_computed_input(frame):
+    """Shuffled, joined or grouped input: rows keep their own spans."""
+    rng = random.Random(13)
+    rows = [(i, " ".join(rng.choice(["x", "password=abc12345", "AKIA" + "B" * 20, "a1" * 14, "."]) for _ in range(rng.randint(0, 6))))
+            for i in range(400)]
+    table = frame(rows, "doc_id long, text string")
+    want = {r.doc_id: r.spans for r in secret_scan.scan(table).collect()}
+    assert sum(s != "" for s in want.values()) > 200
+    other = frame([(i,) for i, _ in rows], "doc_id long")
+    for docs in (table.dropDuplicates(["doc_id"]), table.join(other, "doc_id"),
+                 table.groupBy("doc_id").agg({"text": "max"}).withColumnRenamed("max(text)", "text")):
+        got = secret_scan.scan(docs).collect()
+        assert len(got) == 400 and {r.doc_id: r.spans for r in got} == want
+
+
+def test_other_names_of_id_and_text(frame):
+    rows = [("a", "secret=abcdefg"), ("b", "nothing here"), ("c", None)]
+    got = secret_scan.without_secrets(frame(rows, "name string, body string"), "name", "body")
+    assert sorted(r.name for r in got.collect()) == ["b", "c"]
+
+
 def test_documents_without_secrets_stay(frame):
     rows = [(1, "clean", "x"), (2, "token=abcdefgh", "x"), (3, "account=carl " + "Ab1" * 12, "x"), (4, None, "x"),
             (None, "clean", "x"), (None, "token=abcdefgh", "x"), (1, "clean", "x")]
@@ -279,6 +348,43 @@ def test_quality_on_planted_labels(frame):
     assert sum(r.predicted == int(r.doc_id % 3 > 0) for r in held) >= 0.97 * len(held)
 
 
+def test_scores_equal_a_plain_fit(frame):
+    """Ridge on the features of all labelled rows by numpy's least squares, then a rising step fit."""
+    rng = random.Random(20)
+    rows = [(i, " ".join(rng.choice(["the", "of", "word", "http://x", "AAAA", "1234", "!!", "nice"][:3 + i % 6])
+                         for _ in range(rng.randint(1, 80)))) for i in range(300)]
+    labels = [(i, int(i % 6 < 3) if rng.random() < 0.9 else int(i % 6 >= 3)) for i in range(260)]
+    docs = frame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in quality.classify(
+        docs, frame(labels, "doc_id long, quality int"), F.col("doc_id") % 4 != 2).collect()}
+    stats = {r.doc_id: list(r.stats) for r in quality.statistics_table(docs, "doc_id", "text").collect()}
+    x = np.array([stats[i] for i, _ in rows])
+    mean, scale = x.mean(0), x.std(0)
+    scale[scale < 1e-9] = 1.0
+    z = quality.fourier(x, mean, scale)
+    learn = np.array([i for i, _ in labels if i % 4 != 2])
+    y = np.array([q for i, q in labels if i % 4 != 2], float)
+    ridge = np.sqrt(np.append(np.full(z.shape[1] - 1, quality.RIDGE * len(learn) + 1e-6), 1e-9))
+    weights = np.linalg.lstsq(np.vstack([z[learn], np.diag(ridge)]), np.append(y, np.zeros(z.shape[1])), rcond=None)[0]
+    raw = z @ weights
+    width = (quality.HIGH - quality.LOW) / quality.BINS
+    bins = np.clip((raw[learn] - quality.LOW) / width, 0, quality.BINS - 1).astype(int)
+    names = np.unique(bins)
+    value = np.array([y[bins == b].mean() for b in names])
+    weight = np.array([(bins == b).sum() for b in names], float)
+    rising = np.array([max(min((value[i:j + 1] * weight[i:j + 1]).sum() / weight[i:j + 1].sum() for j in range(k, len(names)))
+                           for i in range(k + 1)) for k in range(len(names))])
+    centre = quality.LOW + (names + 0.5) * width
+    assert all(abs(got[i] - 0.5) <= 0.5 for i in got)
+    fit = {i: rising[np.flatnonzero(names == b)[0]] for i, b in zip(learn.tolist(), bins.tolist())}
+    # Between the centres of equal steps the score is interpolated; at a step's middle it is the step.
+    blocks = np.flatnonzero(np.append(True, np.diff(rising) > 1e-12))
+    xs = np.array([np.average(centre[a:b], weights=weight[a:b]) for a, b in zip(blocks, np.append(blocks[1:], len(names)))])
+    plain = np.clip(np.interp(raw, xs, rising[blocks]), 0, 1)
+    assert max(abs(got[i] - plain[k]) for k, (i, _) in enumerate(rows)) < 1e-3
+    assert np.corrcoef([fit[i] for i in fit], [got[i] for i in fit])[0, 1] > 0.9
+
+
 def test_quality_without_labels(frame):
     docs = frame([(1, "a b"), (2, None)], "doc_id long, text string")
     got = quality.classify(docs, frame([], "doc_id long, quality int"), F.expr(ALL)).collect()
@@ -400,6 +506,30 @@ def test_int8_bounds_hold():
     assert nearest.tile_distances(a, a).diagonal().max() <= 1e-3 * np.abs(a.v).max()
 
 
+def test_nearest_of_very_large_values(frame):
+    """Squares pass a double's range, distances do not; nothing is lost beside ordinary vectors."""
+    rows = [(1, [1e200, 0.0]), (2, [1e200, 1e199]), (3, [-1e200, 5.0]), (4, [3.0, 4.0]), (5, [0.0, 1e-200]),
+            (6, [1e308, 1e308]), (7, [-1e308, 1e308])]
+    table = frame(rows, "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in nearest.search(table, table, 6).collect():
+        got[r.query_id].append((r.score, r.vec_id))
+    assert set(got) == {i for i, _ in rows} and all(len(g) == 6 for g in got.values())
+    for i, v in rows:
+        want = sorted((math.hypot(v[0] / 4 - w[0] / 4, v[1] / 4 - w[1] / 4) * 4, j) for j, w in rows if j != i)
+        assert [j for _, j in sorted(got[i])] == [j for _, j in want]
+        assert all(a == b or abs(a - b) <= 1e-12 * b for (a, _), (b, _) in zip(sorted(got[i]), want))
+
+
+def test_nearest_in_blocks(frame, monkeypatch):
+    rng = np.random.default_rng(12)
+    v = rng.normal(size=(80, 4))
+    table = frame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    whole = {(r.query_id, r["rank"], r.vec_id) for r in nearest.search(table, table, 3).collect()}
+    monkeypatch.setattr(nearest, "QUERY_VALUES", 60)
+    assert {(r.query_id, r["rank"], r.vec_id) for r in nearest.search(table, table, 3).collect()} == whole
+
+
 def test_nearest_of_nothing(frame):
     empty = frame([], "vec_id long, embedding array<float>")
     one = frame([(100, [1.0])], "vec_id long, embedding array<float>")
