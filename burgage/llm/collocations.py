@@ -411,9 +411,11 @@ def mined(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least
                              *(F.lit(0).cast("long").alias(w) for w in names[1:]), "n")
     scored = _scored(phrases.unionByName(single), names)
     many, few = INSIDE
-    kept = (scored.join(_outgrown(phrases, names), names, "left")
-            .where(F.col("longer").isNull() | (F.col("longer").cast("decimal(20,0)") * many
-                                               < F.col("a").cast("decimal(20,0)") * few)))
+    kept = scored
+    if most > 2:
+        kept = (scored.join(_outgrown(phrases, names), names, "left")
+                .where(F.col("longer").isNull() | (F.col("longer").cast("decimal(20,0)") * many
+                                                   < F.col("a").cast("decimal(20,0)") * few)))
     for w in names:
         word = frequent.select(F.col("h").alias(w), F.col("word").alias(f"{w}_word"),
                                *([F.col("lang")] if w == names[0] else []))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import written
-from .runs import key_runs, partitions
+from .runs import key_runs, partitions, unused
 
 SHARDS = 24
 HEADER = 8            # bytes that a row takes besides its text
@@ -174,8 +174,11 @@ def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, text_col: str
     The table's own columns are kept but for one named `shard`, whose place the new one takes. A
     shard is written by several tasks, so no task holds one.
     """
-    docs = docs.drop("shard", *KEYS)
-    rows = docs.select(*docs.columns, *_keys(text_col))
-    placed = _placed(rows, group_shards(rows.select(*KEYS), shards, top)).drop(*KEYS)
+    docs = docs.drop("shard")
+    own = {c: unused(docs.columns, c) for c in docs.columns if c.lower() in KEYS}
+    docs = docs.withColumnsRenamed(own)
+    rows = docs.select(*docs.columns, *_keys(own.get(text_col, text_col)))
+    placed = (_placed(rows, group_shards(rows.select(*KEYS), shards, top)).drop(*KEYS)
+              .withColumnsRenamed({new: old for old, new in own.items()}))
     (placed.repartition("shard", F.floor(F.rand(7) * max(1, 4 * partitions(docs) // shards)))
      .write.partitionBy("shard").parquet(path))

@@ -68,8 +68,8 @@ def test_sizes_near_equal_with_copies(frame, top):
     docs = [(i, "x" * int(rng.paretovariate(1.2) * 20) + str(i), "s", None, i) for i in range(1500)]
     docs += [(5_000 + i, "copy of one text", None, "z", 0) for i in range(700)]
     sums = check(sharding.sharded(frame(docs, DOCS), 8, top=top).collect(), docs, 8)
-    assert max(sums) - min(sums) <= 0.01 * sum(sums) / 8 or max(sums) == max(
-        Counter({t: n * (len(t) + 8) for t, n in Counter(d[1] for d in docs).items()}).values())
+    # No further apart than an item of the last level is large.
+    assert max(sums) - min(sums) <= max(0.01 * sum(sums) / 8, sum(sums) / top)
 
 
 @pytest.mark.parametrize("top", [sharding.TOP, 64])
@@ -77,7 +77,7 @@ def test_a_group_larger_than_a_shard_is_alone(frame, top):
     docs = [(i, f"text {i}", None, None, None) for i in range(400)]
     docs += [(1, "the largest group of all", None, None, None)] * 400
     sums = sorted(check(sharding.sharded(frame(docs, DOCS), 6, top=top).collect(), docs, 6))
-    assert sums[-1] == 400 * 32 and sums[-2] - sums[0] <= 0.05 * sums[0]
+    assert sums[-1] == 400 * 32 and sums[-2] - sums[0] <= max(0.02 * sums[0], sum(sums) / top)
 
 
 @pytest.mark.parametrize("docs", [
