@@ -132,26 +132,35 @@ class Damaged(Exception):
     """A member that begins as a record, but cannot be read to its end."""
 
 
+def begins(s: Stream, at: int) -> bool:
+    """Whether a member at `at` inflates to the first line of a record."""
+    z, out, pos = zlib.decompressobj(31), b"", at - s.base
+    while len(out) < len(VERSION) and not z.eof:
+        if pos >= len(s.held) and not s.fill():
+            return False
+        piece = s.held[pos:pos + PIECE_BYTES]
+        pos += len(piece)
+        try:
+            out += z.decompress(piece, len(VERSION) - len(out))
+        except zlib.error:
+            return False
+    return re.match(rb"WARC/1\.[01]\r\n", out) is not None
+
+
 def inflate(s: Stream, at: int) -> tuple[bytes, int] | None:
     """The record in the member at `at` and where the member ends; None if there is none."""
-    z, out, pos, checked = zlib.decompressobj(31), [], at - s.base, False
+    if not begins(s, at):
+        return None
+    z, out, pos = zlib.decompressobj(31), [], at - s.base
     while not z.eof:
         if pos >= len(s.held) and not s.fill():
-            if checked:
-                raise Damaged("the file ends within the record")
-            return None
+            raise Damaged("the file ends within the record")
         piece = s.held[pos:pos + PIECE_BYTES]
         try:
             out.append(z.decompress(piece))
         except zlib.error as error:
-            if checked:
-                raise Damaged(str(error)) from None
-            return None
+            raise Damaged(str(error)) from None
         pos += len(piece)
-        if not checked and (z.eof or sum(map(len, out)) >= len(VERSION)):
-            if not re.match(rb"WARC/1\.[01]\r\n", b"".join(out)[:len(VERSION)]):
-                return None
-            checked = True
     return b"".join(out), s.base + pos - len(z.unused_data)
 
 
