@@ -310,7 +310,7 @@ def test_values_of_very_many_texts(frame, monkeypatch):
     texts = [rest(60) + block + rest(60) for _ in range(40)] + [rest(i) + copied + rest(50) for i in range(40)]
     rows = [(i, " ".join(t), "x") for i, t in enumerate(texts)]
     monkeypatch.setattr(passages, "CELL", 4)
-    monkeypatch.setattr(passages, "partitions", lambda df: 400)  # so that 4 windows of a value are very many
+    monkeypatch.setattr(passages, "partitions", lambda df: 120)  # so that 4 windows of a value are very many
     calls = []
     original = passages.hot_links
     monkeypatch.setattr(passages, "hot_links", lambda *a: (calls.append(len(a[2])), original(*a))[1])
