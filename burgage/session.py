@@ -37,10 +37,17 @@ def get_session(app: str = "burgage", master: str | None = None, **extra: str) -
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in spark.checkpoint.dir.
 
-    Where that is unset, a folder below the session's warehouse, which is shared as well.
+    Where that is unset, a folder below the session's warehouse. On a cluster a warehouse on the
+    local disk is no shared folder: that is an error, not files that others cannot see.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    if folder:
+        return folder
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    local = warehouse.startswith("file:") or "://" not in warehouse
+    if local and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{warehouse}/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

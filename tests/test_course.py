@@ -5,6 +5,8 @@ import json
 import os
 import subprocess
 import sys
+import uuid
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -166,6 +168,19 @@ def test_scratch_folder(spark):
     assert first != second and first.startswith(shared_folder(spark))
 
 
+def test_no_machine_local_folder_on_a_cluster():
+    def session(master, **conf):
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    warehouse = {"spark.sql.warehouse.dir": "file:/home/x/warehouse"}
+    for place in ("file:/home/x/warehouse", "/home/x/warehouse"):
+        with pytest.raises(ValueError):
+            shared_folder(session("spark://host:7077", **{"spark.sql.warehouse.dir": place}))
+    assert shared_folder(session("local[2]", **warehouse)) == "file:/home/x/warehouse/_scratch"
+    assert shared_folder(session("yarn", **warehouse, **{"spark.checkpoint.dir": "hdfs://n/c"})) == "hdfs://n/c"
+    assert shared_folder(session("yarn", **{"spark.sql.warehouse.dir": "hdfs://n/w/"})) == "hdfs://n/w/_scratch"
+
+
 CHILD = """
 import sys
 sys.path.insert(0, {root!r})
@@ -186,6 +201,9 @@ def test_nothing_is_left_behind(tmp_path, named):
     more = f", spark__checkpoint__dir={shared!r}" if named else ""
     out = subprocess.run([sys.executable, "-c", CHILD.format(root=root, folder=folder, more=more)],
                          capture_output=True, text=True, timeout=120)
-    assert "made" in out.stdout and int(out.stdout.split()[-1]) >= 1, out.stderr[-2000:]
+    # The application's folder; beside it Spark's own for checkpoints, which Spark makes where the
+    # setting names a folder, and leaves there, empty.
+    assert "made" in out.stdout and int(out.stdout.split()[-1]) == (2 if named else 1), out.stderr[-2000:]
     left = os.listdir(shared) if os.path.isdir(shared) else []
-    assert [f for f in left if f.startswith("local-")] == []
+    assert len(left) == (1 if named else 0)
+    assert all(uuid.UUID(f) and os.listdir(os.path.join(shared, f)) == [] for f in left)
