@@ -187,8 +187,12 @@ sys.path.insert(0, {root!r})
 from burgage.session import get_session, scratch_path, shared_folder, written
 spark = get_session("scratch", master="local[1]", spark__ui__enabled="false",
                     spark__sql__warehouse__dir={folder!r}{more})
+import os
+place = shared_folder(spark).removeprefix("file:")
+before = set(os.listdir(place)) if os.path.isdir(place) else set()
 assert written(spark.range(5), "five").count() == 5
-print("made", shared_folder(spark), len(__import__("os").listdir(shared_folder(spark))))
+mine = [f for f in set(os.listdir(place)) - before if f.startswith(spark.sparkContext.applicationId)]
+print("made", place, *mine)
 spark.stop()
 """
 
@@ -201,9 +205,12 @@ def test_nothing_is_left_behind(tmp_path, named):
     more = f", spark__checkpoint__dir={shared!r}" if named else ""
     out = subprocess.run([sys.executable, "-c", CHILD.format(root=root, folder=folder, more=more)],
                          capture_output=True, text=True, timeout=120)
-    # The application's folder; beside it Spark's own for checkpoints, which Spark makes where the
-    # setting names a folder, and leaves there, empty.
-    assert "made" in out.stdout and int(out.stdout.split()[-1]) == (2 if named else 1), out.stderr[-2000:]
-    left = os.listdir(shared) if os.path.isdir(shared) else []
+    made = out.stdout.strip().splitlines()[-1].split() if out.stdout.strip() else []
+    assert made[:1] == ["made"] and len(made) == 3, out.stderr[-2000:]
+    assert not named or made[1] == shared
+    # The application's folder is gone. Where the setting names a folder, Spark makes one of its own
+    # for checkpoints there, and leaves it, empty.
+    assert made[2] not in (os.listdir(made[1]) if os.path.isdir(made[1]) else [])
+    left = os.listdir(shared) if named else []
     assert len(left) == (1 if named else 0)
     assert all(uuid.UUID(f) and os.listdir(os.path.join(shared, f)) == [] for f in left)
