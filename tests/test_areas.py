@@ -64,3 +64,15 @@ def test_plan_is_an_equi_join(spark):
     points = spark.range(10).select(F.col("id").cast("double").alias("x"), F.lit(1.0).alias("y"))
     text = points_in_areas(points, areas, x="x", y="y", area_id="id", wkt="g", cell=1.0)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in text and "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_small_tables_with_many_pairs_are_dealt_to_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr("burgage.operators.areas.PIECE_POINTS", 50)
+    squares = [(i, f"POLYGON (({i} {i}, {i + 4} {i}, {i + 4} {i + 4}, {i} {i + 4}))") for i in range(4)]
+    areas = spark.createDataFrame(squares, "id long, g string").coalesce(1)
+    points = spark.range(0, 1000, 1, 1).select("id", (F.col("id") % 40 / 10).alias("x"), (F.col("id") % 30 / 10).alias("y"))
+    met = points_in_areas(points.withColumnRenamed("id", "p"), areas, x="x", y="y", area_id="id", wkt="g", cell=10.0)
+    busy = met.select(F.spark_partition_id().alias("task")).distinct().count()  # all points lie in one cell
+    want = sum(i <= p % 40 / 10 < i + 4 and i <= p % 30 / 10 < i + 4 for p in range(1000) for i in range(4))
+    assert met.count() == want and met.distinct().count() == want
+    assert busy > 1
