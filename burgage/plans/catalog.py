@@ -491,10 +491,10 @@ def upserted_permits(spark, sf):
     """Lines as a stored table by year, with new, amended, outdated and deleted rows put in."""
     path = scratch_path(spark, "permits-upserted")
     key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("permit_number")
-    lines = latest(b.lines(spark, sf).select(
+    lines = written(latest(b.lines(spark, sf).select(
         key, F.col("l_orderkey").alias("o"), F.year("l_shipdate").cast("bigint").alias("issued_year"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("cost"),
-        F.to_date("l_shipdate").alias("as_of")), ["permit_number"], "cost")
+        F.to_date("l_shipdate").alias("as_of")), ["permit_number"], "cost"), "lines")
     base = lines.where("o % 17 <> 0")
     write_table(base.select("permit_number", "cost", "as_of", "issued_year"), path, partition_by=["issued_year"])
     moved = F.when(F.col("o") % 7 == 0, F.col("issued_year") + 1).otherwise(F.col("issued_year"))

@@ -127,3 +127,24 @@ def test_only_files_that_match(spark, tmp_path):
     with open(f"{folder}/b.txt", "w") as f:
         f.write("x")
     assert states(settle(spark, folder, str(tmp_path / "l"), "*.json")) == [("a", "loaded")]
+
+
+def test_keys_are_not_looked_for_in_partitions_that_changes_go_to(spark, stored, monkeypatch):
+    path, rows, nameless = stored
+    joins, join = [], type(spark.range(1)).join
+    monkeypatch.setattr(type(spark.range(1)), "join", lambda *a, **k: joins.append(a) or join(*a, **k))
+    years = sorted({r[3] for r in [*rows.values(), *nameless]})
+    changes = [(f"new{y}", 1, 1, y) for y in years] + [("k1", 11, 100, 2002)]
+    assert upsert(path, spark.createDataFrame(changes, SHAPE), ["k"], "v", "year") == years
+    assert not joins
+    want = Counter([*(r for k, r in rows.items() if k != "k1"), *nameless, *changes])
+    assert table(spark, path) == want
+
+
+def test_latest_shuffles_keys_and_versions_once(spark):
+    df = spark.createDataFrame([("a", 1, 5, 1), ("a", 2, 4, 2), ("a", 2, 3, 9)], SHAPE)
+    one = latest(df, ["k"], ["v", "cost"])
+    plan = one._jdf.queryExecution().optimizedPlan().toString()
+    struct = plan[plan.index("max(struct("):].split("))")[0]
+    assert one.columns == df.columns and "k, k" not in struct and struct.count("v#") == 1
+    assert [tuple(r) for r in one.collect()] == [("a", 2, 4, 2)]
