@@ -45,10 +45,22 @@ def window_shape(n: int) -> tuple[int, int]:
     return max(step, size // grain * grain), step
 
 
-def running_bits(hashes: np.ndarray, step: int) -> np.ndarray:
-    """Row i: how often each of the 64 bits is set in the first i * step hashes, modulo 2^32."""
+NARROW = 255  # shingles of a window up to which a bit is counted in a byte
+
+
+def running_bits(hashes: np.ndarray, step: int, narrow: bool = False) -> np.ndarray:
+    """Row i: how often each of the 64 bits is set in the first i * step hashes, modulo 2^32.
+
+    With `narrow`, eight bits share a number of 64 bits, a byte each. What overflows a byte goes to the
+    next, and is taken back in the difference of two rows, as long as that has no more than NARROW."""
     n = len(hashes) // step
     bits = np.unpackbits(hashes[:n * step].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    if narrow:
+        bits = bits.view(np.uint64)
+        bits = sum((bits[i::step] for i in range(1, step)), bits[::step])
+        total = np.zeros((n + 1, 8), np.uint64)
+        np.cumsum(bits, axis=0, out=total[1:])
+        return total
     if step > 1:
         bits = bits.reshape(n, step, 64).sum(1, dtype=np.uint8)
     total = np.zeros((n + 1, 64), np.uint32)
@@ -59,7 +71,8 @@ def running_bits(hashes: np.ndarray, step: int) -> np.ndarray:
 def window_prints(running: np.ndarray, size: int, step: int) -> np.ndarray:
     """Fingerprint of the `size` shingles from every `step`-th on."""
     w = size // step
-    return pack(running[w:] - running[:-w] > size // 2)
+    counts = running[w:] - running[:-w]
+    return pack((counts.view(np.uint8) if running.dtype == np.uint64 else counts) > size // 2)
 
 
 class Index:
@@ -74,20 +87,21 @@ class Index:
             value = (prints >> np.uint64(16 * b) & np.uint64(0xFFFF)).astype(np.int64)
             values = (value[:, None] ^ near).ravel()
             order = np.argsort(values, kind="stable")
-            self.tables.append((np.searchsorted(values[order], np.arange(65_537)),
-                                (order // len(near)).astype(np.int32)))
+            items = (order // len(near)).astype(np.int32)
+            self.tables.append((np.searchsorted(values[order], np.arange(65_537)), items, prints[items]))
 
     def near(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(position in `prints`, position in the index) of all pairs within the radius."""
         a, b = [], []
-        for block, (first, items) in enumerate(self.tables):
+        for block, (first, items, theirs) in enumerate(self.tables):
             value = (prints >> np.uint64(16 * block) & np.uint64(0xFFFF)).astype(np.int64)
             n = first[value + 1] - first[value]
-            at = np.repeat(np.arange(len(prints)), n)
-            met = items[np.arange(len(at)) + np.repeat(first[value] - np.cumsum(n) + n, n)]
-            good = np.bitwise_count(prints[at] ^ self.prints[met]) <= RADIUS
-            a.append(at[good])
-            b.append(met[good])
+            upto = np.cumsum(n)
+            place = np.repeat(first[value] - upto + n, n)
+            place += np.arange(len(place))
+            good = np.flatnonzero(np.bitwise_count(np.repeat(prints, n) ^ theirs[place]) <= RADIUS)
+            a.append(np.searchsorted(upto, good, side="right"))
+            b.append(items[place[good]])
         pairs = np.unique(np.concatenate(a) << 32 | np.concatenate(b).astype(np.int64))
         return pairs >> 32, pairs & 0xFFFFFFFF
 
@@ -151,9 +165,10 @@ class Items:
         """(text, item, similarity, start, shingles) of the best passage of each item in each text."""
         best: dict[tuple[int, int], tuple[float, int, int]] = {}
         tried = set()
-        running = {step: running_bits(hashes, step) for step in {k[1] for k in self.shapes}}
+        kinds = {(step, size <= NARROW) for size, step in self.shapes}
+        running = {kind: running_bits(hashes, *kind) for kind in kinds}
         for (size, step), (index, who, offset) in self.shapes.items():
-            prints = window_prints(running[step], size, step)
+            prints = window_prints(running[step, size <= NARROW], size, step)
             start = np.arange(len(prints)) * step
             doc = np.searchsorted(before, start, side="right") - 1
             inside = np.flatnonzero(start + size <= before[doc + 1])

@@ -544,3 +544,16 @@ def test_edited_items_are_found(frame):
         frame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string"))
     got = {(r.doc_id, r.item_id) for r in found.collect()}
     assert got <= want and len(got) >= 0.97 * len(want) > 100
+
+
+@pytest.mark.parametrize("step", [1, 2, 4])
+def test_bits_counted_in_bytes_are_those_counted_wide(step):
+    rng = np.random.default_rng(step)
+    hashes = rng.integers(0, 1 << 63, 3_000).astype(np.uint64)
+    hashes[500:1200] = np.uint64((1 << 64) - 1)  # more than a byte holds
+    size = decontamination.NARROW // step * step
+    wide = decontamination.running_bits(hashes, step)
+    narrow = decontamination.running_bits(hashes, step, narrow=True)
+    assert narrow.nbytes * 4 == wide.nbytes
+    for n in (step, 5 * step, size):
+        assert (decontamination.window_prints(narrow, n, step) == decontamination.window_prints(wide, n, step)).all()
