@@ -557,3 +557,18 @@ def test_bits_counted_in_bytes_are_those_counted_wide(step):
     assert narrow.nbytes * 4 == wide.nbytes
     for n in (step, 5 * step, size):
         assert (decontamination.window_prints(narrow, n, step) == decontamination.window_prints(wide, n, step)).all()
+
+
+def test_values_of_many_contexts_link_all_that_are_alike():
+    rng = np.random.default_rng(3)
+    n, width = passages.CELL, 2 * passages.REACH + 1
+    w = np.zeros(2 * n, passages.WINDOW)
+    w["key"], w["node"], w["at"], w["high"] = 5, np.arange(2 * n), passages.REACH, width
+    for i in range(n):  # SHARED hashes and some more in common, but no stretch of them
+        mine = rng.permutation(60_000)[:width] + 1
+        other = rng.permutation(60_000)[:width] + 1
+        kept = rng.permutation(width)[:passages.SHARED + 5]
+        other[kept] = mine[kept]
+        w["context"][2 * i], w["context"][2 * i + 1] = mine, other
+    got = {tuple(sorted(p)) for p in passages.linked(w)["node"].tolist()}
+    assert got == {(2 * i, 2 * i + 1) for i in range(n)}
