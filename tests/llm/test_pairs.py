@@ -572,3 +572,22 @@ def test_values_of_many_contexts_link_all_that_are_alike():
         w["context"][2 * i], w["context"][2 * i + 1] = mine, other
     got = {tuple(sorted(p)) for p in passages.linked(w)["node"].tolist()}
     assert got == {(2 * i, 2 * i + 1) for i in range(n)}
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_longest_chain_of_runs_is_that_of_all_pairs(seed, monkeypatch):
+    rng = np.random.default_rng(seed)
+    i = np.flatnonzero(rng.random(300) < 0.8)
+    j = rng.integers(0, 60, len(i)) if seed % 2 else (i + 7 * rng.integers(0, 5, len(i))) % 200
+    seen = []
+    monkeypatch.setattr(passages, "_in_order", lambda a, b: seen.append((a, b)) or [])
+    passages._chained_passages(i, j)
+    cuts = np.flatnonzero((np.diff(i) != 1) | (np.diff(j) != 1)) + 1
+    runs = np.split(np.arange(len(i)), cuts)
+    best = []
+    for k, run in enumerate(runs):  # the longest chain that ends here, of equal ones by the first run
+        before = [(best[x][0], -x) for x in range(k) if j[runs[x][-1]] < j[run[0]]]
+        n, x = max(before, default=(0, None))
+        best.append((n + len(run), ([] if x is None else best[-x][1]) + run.tolist()))
+    want = max(best, key=lambda b: b[0])[1]
+    assert seen[0][0].tolist() == i[want].tolist() and seen[0][1].tolist() == j[want].tolist()
