@@ -15,8 +15,8 @@ from ..operators import series, timing, views
 from ..operators.areas import points_in_areas
 from ..schemas import CENSUS_VARIABLES, COUNTIES, SAMPLE_ROWS, layout
 from ..session import kept, scratch_path, written
-from ..sources import (Typed, append_all, decode_json_table, export_all, export_csv, latest, read_csv,
-                       read_csv_inferred, read_csv_split, read_json_tables, read_ledger, register_view,
+from ..sources import (Typed, append_all, decode_json_table, export_all, export_csv, export_one_csv, latest,
+                       read_csv, read_csv_inferred, read_csv_split, read_json_tables, read_ledger, register_view,
                        rejected_responses, settle, type_columns, upsert, write_table)
 from . import bindings as b
 
@@ -424,7 +424,7 @@ def label_texts(spark, sf):
 def csv_split_multiline(spark, sf):
     """Texts with line breaks and quotes out to one CSV file, and back by ranges of it."""
     path = scratch_path(spark, "documents-one-csv")
-    export_csv(b.table(spark, sf, "documents").select("doc_id", "lang", "text"), path, single_file=True)
+    export_one_csv(b.table(spark, sf, "documents").select("doc_id", "lang", "text"), path)
     shape = layout("doc_id:long lang text")
     back = type_columns(read_csv_split(spark, path, shape, tokens=("",)), shape).good
     return back.select("doc_id", "lang", F.length("text").cast("bigint").alias("text_length"),

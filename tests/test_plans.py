@@ -135,6 +135,14 @@ def test_windows_and_percentiles_follow_an_aggregate(plans, name):
             assert "HashAggregate" in below or "TakeOrdered" in below
 
 
+def test_no_task_has_the_whole_export(spark, monkeypatch):
+    """One file comes of parts that all tasks write, not of all rows in one task."""
+    frame = type(spark.range(0))
+    monkeypatch.setattr(frame, "repartition", lambda self, n, *c, f=frame.repartition: f(
+        self, n, *c) if n != 1 or self.columns == ["place", "pieces"] else pytest.fail("all rows in one task"))
+    assert QUERIES["csv_split_multiline"](spark, SF).count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+
+
 def test_lines_are_shuffled_once_for_places(plans):
     text = plans("neighborhood_activity")
     assert len(re.findall(r"Exchange hashpartitioning\(l_orderkey", text)) == 1

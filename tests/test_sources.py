@@ -4,10 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from burgage.schemas import BUILDING_PERMITS, CENSUS_ACS, LAND_USE, layout
-from burgage.sources import (decode_json_table, export_all, export_csv, list_landed, read_csv,
+from burgage.sources import (decode_json_table, export_all, export_csv, export_one_csv, list_landed, read_csv,
                              read_csv_inferred, read_json_tables, register_view, rejected_responses,
-                             type_columns,
-                             write_table)
+                             sinks, type_columns, write_table)
 
 SHAPE = layout("id:long name cost:money rate:double")
 
@@ -122,6 +121,37 @@ def test_single_file_in_order(spark, tmp_path):
     export_csv(df.filter("id < 0"), str(tmp_path / "none"), single_file=True)
 
 
+def test_one_file_is_filled_by_many_tasks(spark, tmp_path, monkeypatch):
+    """The file is as one task writes it, and no task has more of it than a block."""
+    monkeypatch.setattr(sinks, "BLOCK_BYTES", 1000)
+    df = spark.range(3000, numPartitions=5).selectExpr(
+        "id", "if(id % 3 = 0, null, concat('a, \"b\"\\n', id)) AS `the \"text\"`", "if(id % 2 = 0, '', ' c ') AS c")
+    export_csv(df, str(tmp_path / "one task"), single_file=True, order_by=["id"])
+    alone, = (tmp_path / "one task").glob("part-*.csv")
+    monkeypatch.setattr(type(df), "repartition", lambda self, n, *c, f=type(df).repartition: f(
+        self, n, *c) if n > 1 else pytest.fail("all rows in one task"))
+    export_one_csv(df, str(tmp_path / "many"), order_by=["id"])
+    many, = (tmp_path / "many").iterdir()
+    assert many.name.startswith("part-") and many.read_bytes() == alone.read_bytes()
+    export_one_csv(df, str(tmp_path / "any % order"))
+    any_order, = (tmp_path / "any % order").iterdir()
+    assert sorted(any_order.read_bytes()) == sorted(alone.read_bytes())
+    with pytest.raises(FileExistsError):
+        export_one_csv(df, str(tmp_path / "many"))
+
+
+def test_one_file_of_no_rows_has_the_header(spark, tmp_path):
+    export_one_csv(spark.range(0).selectExpr("id", "id AS b"), str(tmp_path / "none"))
+    one, = (tmp_path / "none").iterdir()
+    assert one.read_text() == "id,b\n"
+
+
+def test_blocks_cover_the_files():
+    files = [("a", 5), ("b", 0), ("c", 27), ("d", 1)]
+    assert sinks._blocks(files, 10) == [
+        (0, [("a", 0, 5), ("c", 0, 5)]), (10, [("c", 5, 10)]), (20, [("c", 15, 10)]), (30, [("c", 25, 2), ("d", 0, 1)])]
+
+
 def test_responses_that_are_no_table(spark, tmp_path):
     for name, text in {"a": '[["x"],["1"]]', "b": "not json", "d": "[]", "e": '[["x"]]'}.items():
         write(tmp_path / f"{name}.json", text)
