@@ -144,6 +144,15 @@ def merged(spans):
     return out
 
 
+def test_windows_are_dealt_evenly():
+    """Lowest values are small numbers; no bucket gets many more windows than others for that."""
+    hashes = np.random.default_rng(7).integers(1, 1 << 63, 20_000).astype(np.uint64)
+    texts = passages._Texts(np.array([1]), hashes, np.array([0, len(hashes)]))
+    key = np.concatenate([texts.windows(f)[0] for f in range(passages.FUNCTIONS)])
+    sizes = np.bincount(passages._bucket(key, 16).astype(np.int64), minlength=16)
+    assert sizes.max() < 1.5 * sizes.mean()
+
+
 def test_passages_that_repeat(frame, words):
     p = words(10_000, 60)
     edited = list(p)
