@@ -600,3 +600,26 @@ def test_longest_chain_of_runs_is_that_of_all_pairs(seed, monkeypatch):
         best.append((n + len(run), ([] if x is None else best[-x][1]) + run.tolist()))
     want = max(best, key=lambda b: b[0])[1]
     assert seen[0][0].tolist() == i[want].tolist() and seen[0][1].tolist() == j[want].tolist()
+
+
+def test_contexts_that_cannot_be_alike_are_not_compared(monkeypatch):
+    """Contexts of fewer than SHARED different hashes have not as many in common with any."""
+    n, width = 2 * passages.CELL, 2 * passages.REACH + 1
+    w = np.zeros(n, passages.WINDOW)
+    w["key"], w["node"] = 5, np.arange(n)
+    w["context"] = np.arange(width) % 20 + 1 + 40 * np.arange(n)[:, None]
+    seen = []
+    original = passages._alike
+    monkeypatch.setattr(passages, "_alike", lambda w: (seen.append(len(w)), original(w))[1])
+    assert not len(passages._alike_in_blocks(w)) and not seen
+    w["context"][7], w["context"][300] = np.arange(1, width + 1), np.arange(3, width + 3)
+    assert original(w)[0].tolist() == [7] and original(w)[1].tolist() == [300]
+
+
+def test_equal_contexts_lie_side_by_side():
+    rng = np.random.default_rng(21)
+    w = np.zeros(300, passages.WINDOW)
+    w["key"], w["node"] = 5, rng.permutation(300)
+    w["context"] = rng.integers(1, 1 << 16, (3, w["context"].shape[1]))[np.arange(300) % 3]
+    _, rows = passages._once(w, 16)
+    assert len(rows) == 300 and (np.diff(passages._contents(rows["context"]).astype(float)) != 0).sum() == 2
