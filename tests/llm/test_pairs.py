@@ -329,6 +329,25 @@ def test_values_of_very_many_texts(frame, monkeypatch):
     assert {r.class_id for i, r in got.items() if i >= 40} == {40}
 
 
+def test_links_of_values_of_very_many_texts(spark, frame):
+    """A block of 38 words in 120 texts, of which two each have 6 words more on either side in common, with
+    an edit: pairs that windows together link are linked where they are spread, too."""
+    rng = random.Random(22)
+    rest = lambda n: [f"q{rng.randint(0, 10**9)}" for _ in range(n)]
+    block, texts = rest(38), []
+    for _ in range(60):
+        one = rest(6) + block + rest(6)
+        texts += [rest(60) + one + rest(60), rest(60) + one[:1] + rest(1) + one[2:] + rest(60)]
+    table = frame([*zip(rng.sample(range(1000), 120), map(" ".join, texts))], "node long, text string")
+    values = passages.shared_values(table).where("n > 16").select("h")
+    hot = values.toArrow()["h"].to_numpy().view(np.uint64)
+    known = passages.hash_filter(values, 1 << 20)
+    pairs = lambda links: {(r.a, r.b) for r in links.select("a", "b").collect()}
+    together = pairs(passages.window_links(table, known, 10_000, hot[:0]))
+    assert len(together) >= 55
+    assert together <= pairs(passages.hot_links(table, known, hot))
+
+
 def test_recall_against_all_pairs_of_stretches(frame):
     """An independent brute force: for each pair of texts all stretches of LEAST shingles, and their
     similarity as multisets. Texts of frequent lines, rare ones, and edits."""
