@@ -642,3 +642,22 @@ def test_equal_contexts_lie_side_by_side():
     w["context"] = rng.integers(1, 1 << 16, (3, w["context"].shape[1]))[np.arange(300) % 3]
     _, rows = passages._once(w, 16)
     assert len(rows) == 300 and (np.diff(passages._contents(rows["context"]).astype(float)) != 0).sum() == 2
+
+
+def test_contexts_around_a_frequent_line_meet_at_rare_hashes(monkeypatch):
+    """Contexts that share a line only are not compared; all pairs that are alike are found, those that have
+    repeated hashes in common too."""
+    rng = np.random.default_rng(23)
+    n, width = 4 * passages.CELL, 2 * passages.REACH + 1
+    w = np.zeros(n, passages.WINDOW)
+    w["key"], w["node"] = 5, np.arange(n)
+    w["context"] = rng.integers(1, 1 << 16, (n, width))
+    w["context"][:, 40:50] = np.arange(1, 11)
+    for i in range(0, 40, 2):  # 28 hashes beside the line, four of them twice
+        w["context"][i + 1, 50:78] = w["context"][i, 55:83]
+        w["context"][i:i + 2, :4] = w["context"][i, 55:59]
+    seen = []
+    monkeypatch.setattr(passages, "_alike", lambda w: seen.append(len(w)) or (np.zeros(0, int),) * 2)
+    got = {tuple(sorted(p)) for p in passages._alike_in_blocks(w).tolist()}
+    assert not seen
+    assert got == {(i, i + 1) for i in range(0, 40, 2)}
